@@ -53,7 +53,7 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     ).select("source", "source_size", "target")
 
 
-def mix(docs: DataFrame, seed: str = "mix", weight: Column | None = None, text_col: str = "text") -> DataFrame:
+def mix(docs: DataFrame, seed: str = "mix", weight: Column | None = None, text_col: str = "text", carry: list[str] = []) -> DataFrame:  # noqa: B006
     """One row per input row: doc_id, source, size, source_size, target, taken.
 
     A source takes floor(target / source_size) complete epochs of all its documents; the words still missing come from documents in
@@ -65,14 +65,14 @@ def mix(docs: DataFrame, seed: str = "mix", weight: Column | None = None, text_c
 
     Null or empty texts have size 0 and are taken 0 times; null sources form one source, last in order. u comes from the seed,
     doc_id and size, so reruns agree; rows equal in these tie and share a source's order arbitrarily among themselves. An empty
-    table gives an empty result.
+    table gives an empty result. carry: names of further columns to pass through.
     """
     scratch = Scratch(docs.sparkSession, "mix")
     text = F.col(text_col)
-    rows = docs.select("doc_id", F.col("source").cast("string").alias("source"), size_of(text).alias("size"), text.alias("t"))
+    rows = docs.select("doc_id", F.col("source").cast("string").alias("source"), size_of(text).alias("size"), text.alias("t"), *carry)
     rows = rows.withColumn("weight", quality_weight(F.col("t"), F.col("size")) if weight is None else weight)
     key = -F.ln(uniform(seed, F.col("doc_id"), F.col("size"))) / F.col("weight")
-    rows = rows.select("doc_id", "source", "size", key.alias("key"))
+    rows = rows.select("doc_id", "source", "size", key.alias("key"), *carry)
     rows = rows.withColumn("range", F.least(F.floor(F.col("key") / (F.col("key") + 1.0) * FAN**3), F.lit(FAN**3 - 1)).cast("long"))
     rows = scratch.put(rows, "rows")
     ranges = scratch.put(rows.groupBy("source", "range").agg(F.sum("size").alias("s")), "ranges")
@@ -114,10 +114,32 @@ def mix(docs: DataFrame, seed: str = "mix", weight: Column | None = None, text_c
     edge = all_.where("range = lo").withColumn("before", F.coalesce(F.sum("size").over(order), F.lit(0)))
     edge = edge.withColumn("extra", F.greatest(F.lit(0), F.least(F.col("size"), F.col("left") - F.col("before"))))
     rest = all_.where("range <> lo").withColumn("extra", F.when(F.col("range") < F.col("lo"), F.col("size")).otherwise(0))
-    cols = ["doc_id", "source", "size", "source_size", "target", (F.col("epochs") * F.col("size") + F.col("extra")).cast("long").alias("taken")]
+    cols = ["doc_id", "source", "size", "source_size", "target", (F.col("epochs") * F.col("size") + F.col("extra")).cast("long").alias("taken"), *carry]
     return edge.select(*cols).unionAll(rest.select(*cols))
 
 
+def emit(docs: DataFrame, columns: list[str], seed: str = "mix") -> DataFrame:
+    """The mixed corpus, with the given columns of docs(doc_id, source, text, ...): a row for each complete take of a document, and
+    one with its first words where a take is partial (the document on its source's boundary); there n_chars, if asked for, is
+    counted anew. Rows repeated with equal doc_id, source and text share their words evenly, rounded down. Empty texts are taken 0
+    times. Words join back to the texts by doc_id, source and text hash."""
+    scratch = Scratch(docs.sparkSession, "mixed")
+    ident = F.xxhash64("text")
+    taken = mix(docs.withColumn("th", ident), seed, carry=["th"]).where("taken > 0")
+    taken = taken.groupBy("doc_id", "source", "th").agg(F.max("size").alias("size"), F.floor(F.sum("taken") / F.count(F.lit(1))).alias("words"))
+    taken = scratch.put(taken.select(F.struct("doc_id", "source", "th", "size", "words").alias("k")), "taken")
+    same = F.col("doc_id").eqNullSafe(F.col("k.doc_id")) & F.col("source").eqNullSafe(F.col("k.source")) & (ident == F.col("k.th"))
+    rows = docs.join(checked_broadcast(taken, 96), same)
+    epochs, rest = F.floor(F.col("k.words") / F.col("k.size")).cast("int"), F.col("k.words") % F.col("k.size")
+    whole = rows.where(epochs > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), epochs))).select(*columns)
+    pieces = F.split("text", r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
+    lead = F.when(F.col("text").rlike(r"\A[\x20\x09-\x0D]"), 1).otherwise(0)
+    part = rows.where(rest > 0).withColumn("text", F.array_join(F.slice(pieces, F.lit(1), (rest + lead).cast("int")), ""))
+    if "n_chars" in columns:
+        part = part.withColumn("n_chars", F.char_length("text").cast("long"))
+    return whole.unionByName(part.select(*columns))
+
+
 #: The same mix in SQL. Arithmetic is in the same order, so targets and cuts agree to the last bit.
 ORACLE = r"""
 WITH d AS (
