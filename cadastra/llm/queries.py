@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, line_dedup, mixing, ngram_join, quality, url_filter
+from . import exact_dedup, line_dedup, mixing, ngram_join, quality, sentencepiece_trie, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,8 +37,12 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_trie.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), sentencepiece_trie.MODEL)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_line_dedup, op4_exact_dedup, op5_quality, op6_url_filter, op7_ngram_join, op9_mix_sources)
+    found = (op1_line_dedup, op4_exact_dedup, op5_quality, op6_url_filter, op7_ngram_join, op9_mix_sources, op10_sentencepiece)
     return {f.__name__: f for f in found}
 
 
