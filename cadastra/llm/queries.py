@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, line_dedup, mixing, ngram_join, quality, sentencepiece_trie, url_filter
+from . import ball_tree, exact_dedup, line_dedup, mixing, ngram_join, quality, sentencepiece_trie, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -42,9 +46,9 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_line_dedup, op4_exact_dedup, op5_quality, op6_url_filter, op7_ngram_join, op9_mix_sources, op10_sentencepiece)
+    found = (op1_line_dedup, op3_top_k, op4_exact_dedup, op5_quality, op6_url_filter, op7_ngram_join, op9_mix_sources, op10_sentencepiece)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": exact_dedup.ORACLE, "op6_url_filter": url_filter.ORACLE, "op9_mix_sources": mixing.ORACLE}
+    return {"op3_top_k": ball_tree.ORACLE, "op4_exact_dedup": exact_dedup.ORACLE, "op6_url_filter": url_filter.ORACLE, "op9_mix_sources": mixing.ORACLE}
