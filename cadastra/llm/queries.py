@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ball_tree, exact_dedup, line_dedup, mixing, ngram_join, quality, sentencepiece_trie, url_filter
+from . import ball_tree, exact_dedup, html_text, line_dedup, mixing, ngram_join, pii, quality, sentencepiece_trie, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op2_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf_dir, "documents"))
+
+
 def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ball_tree.top_k(table(spark, sf_dir, "embeddings"))
 
@@ -37,6 +41,10 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -46,7 +54,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_line_dedup, op3_top_k, op4_exact_dedup, op5_quality, op6_url_filter, op7_ngram_join, op9_mix_sources, op10_sentencepiece)
+    found = (op1_line_dedup, op2_pii_pseudonyms, op3_top_k, op4_exact_dedup, op5_quality, op6_url_filter, op7_ngram_join, op8_html_text, op9_mix_sources, op10_sentencepiece)
     return {f.__name__: f for f in found}
 
 
