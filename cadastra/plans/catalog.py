@@ -436,10 +436,10 @@ def pivot_long_mapping(spark, d):
 
 
 @register("""WITH x AS (SELECT user_id % 20 AS station, date_trunc('hour', ts) AS h, max(value) AS v FROM events GROUP BY 1, 2)
-SELECT station, (h - INTERVAL 3 HOUR)::DATE AS day, round(sum(v), 4) AS rain, round(avg(v), 4) AS mean, max(v) AS max, min(v) AS min, count(v) AS n FROM x GROUP BY 1, 2""")
+SELECT station, (h - INTERVAL 3 HOUR)::DATE AS day, round(sum(v), 7) AS rain, round(avg(v), 7) AS mean, max(v) AS max, min(v) AS min, count(v) AS n FROM x GROUP BY 1, 2""")
 def daily_climate(spark, d):
     e = t(spark, d, "events").select((F.col("user_id") % 20).alias("station"), F.date_trunc("hour", "ts").alias("ts"), F.col("value").alias("rain"), F.col("value").alias("temp"))
-    return indicators.daily_climate(e, places=4)
+    return indicators.daily_climate(e, places=7)
 
 
 @register("""WITH s AS (SELECT l_partkey, l_partkey % 97 AS cell, count(*) AS d, count(DISTINCT l_suppkey) AS r FROM lineitem GROUP BY 1)
