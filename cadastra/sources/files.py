@@ -41,72 +41,67 @@ def delimiter_of(line: str) -> str:
     return max(";,\t|", key=line.count)
 
 
+# The printable characters that Windows-1252 has where ISO-8859-1 has control codes.
+CONTROLS = "".join(map(chr, (*range(0x80, 0x81), *range(0x82, 0x8D), 0x8E, *range(0x91, 0x9D), 0x9E, 0x9F)))
+PRINTABLE = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+
+
 def read_csv(spark: SparkSession, path: str, required: Sequence[str] = (), skip: int = 0, delimiter: str | None = None) -> DataFrame:
     """A delimited text file, all columns as text under normalised names, blank as null. Missing required columns are an error that lists
-    what is there. skip: lines before the header. Zipped files are unpacked by the executors, the first .csv member of each."""
-    if path.lower().endswith(".zip"):
-        return _read_zip(spark, path, required, skip, delimiter)
+    what is there. Plain files are split and read by Spark; zipped ones (first .csv or .txt member) and those with `skip` lines before the
+    header are small by nature and read whole, each by one task."""
+    zipped = path.lower().endswith(".zip")
+    if zipped or skip:
+        return _read_whole(spark, path, required, skip, delimiter, zipped)
     sample = head_of(spark, path)
-    encoding = encoding_of(sample)
-    lines = sample.decode("utf-8-sig" if encoding == "UTF-8" else "cp1252", "replace").splitlines()
-    first = lines[skip] if len(lines) > skip else ""
-    sep = delimiter or delimiter_of(first)
-    options = {"sep": sep, "encoding": encoding, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
-    if skip:
-        text = spark.read.option("encoding", encoding).text(path).where("value <> ''")
-        text = text.where(F.col("value") != first) if first else text
-        names = next(_cells(first, sep))
-        rows = text.select(F.from_csv("value", ", ".join(f"c{k} string" for k in range(len(names))), options | {"mode": "PERMISSIVE"}).alias("r"))
-        df = rows.select(*(F.col(f"r.c{k}") for k in range(len(names)))).toDF(*names)
-        bad = {x for x in lines[:skip]}
-        df = df.where(~F.col(f"`{names[0]}`").isin(*(b.split(sep)[0] for b in bad)) | F.col(f"`{names[0]}`").isNull()) if bad else df
-    else:
-        df = spark.read.options(header=True, inferSchema=False, **options).csv(path)
-    return _named(df, required)
-
-
-def _cells(line: str, sep: str):
-    import csv
+    latin = encoding_of(sample) != "UTF-8"
+    lines = sample.decode("cp1252" if latin else "utf-8-sig", "replace").splitlines()
+    sep = delimiter or delimiter_of(lines[0] if lines else "")
+    options = {"sep": sep, "encoding": "ISO-8859-1" if latin else "UTF-8", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    df = _named(spark.read.options(header=True, inferSchema=False, **options).csv(path), required)
+    return df.select(*(F.translate(c, CONTROLS, PRINTABLE).alias(c) for c in df.columns)) if latin else df
 
-    yield from csv.reader([line], delimiter=sep)
-
-
-def _named(df: DataFrame, required: Sequence[str]) -> DataFrame:
-    names = [header(c) for c in df.columns]
-    names = [n if names.index(n) == k else f"{n}_{k}" for k, n in enumerate(names)]
-    if missing := [r for r in required if r not in names]:
-        raise ValueError(f"missing {', '.join(missing)}; the header has {', '.join(names)}")
-    df = df.toDF(*names)
-    return df.select(*(F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in names))
 
-
-def _read_zip(spark, path, required, skip, delimiter) -> DataFrame:
+def _read_whole(spark, path, required, skip, delimiter, zipped) -> DataFrame:
     import csv
 
-    blob = head_of(spark, path, 1 << 28)
-    with zipfile.ZipFile(io.BytesIO(blob)) as z:
-        member = next(n for n in z.namelist() if n.lower().endswith((".csv", ".txt")))
-        sample = z.open(member).read(SNIFF)
-    encoding = "utf-8-sig" if encoding_of(sample) == "UTF-8" else "cp1252"
-    lines = sample.decode(encoding, "replace").splitlines()
+    def text_of(content: bytes, encoding: str):
+        if not zipped:
+            return io.TextIOWrapper(io.BytesIO(content), encoding=encoding, errors="replace", newline="")
+        z = zipfile.ZipFile(io.BytesIO(content))
+        return io.TextIOWrapper(z.open(next(n for n in z.namelist() if n.lower().endswith((".csv", ".txt")))), encoding=encoding, errors="replace", newline="")
+
+    blob = head_of(spark, path, 1 << 28 if zipped else SNIFF)
+    probe = text_of(blob, "latin-1")
+    encoding = "utf-8-sig" if encoding_of(probe.buffer.read(SNIFF)) == "UTF-8" else "cp1252"
+    head = text_of(blob, encoding)
+    lines = [head.readline().rstrip("\r\n") for _ in range(skip + 1)]
     sep = delimiter or delimiter_of(lines[skip])
     names = next(csv.reader([lines[skip]], delimiter=sep))
-    schema = ", ".join(f"c{k} string" for k in range(len(names)))
+    cols = [f"c{k}" for k in range(len(names))]
 
     def unpack(batches):
         import pandas as pd
 
         for pdf in batches:
             for content in pdf["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as z, z.open(next(n for n in z.namelist() if n.lower().endswith((".csv", ".txt")))) as f:
-                    text = io.TextIOWrapper(f, encoding=encoding, errors="replace", newline="")
-                    for _ in range(skip):
-                        next(text)
-                    for part in pd.read_csv(text, sep=sep, dtype=str, keep_default_na=False, chunksize=50_000):
-                        yield part.set_axis([f"c{k}" for k in range(len(names))], axis=1)
-
-    files = spark.read.format("binaryFile").load(path).select("content")
-    return _named(files.mapInPandas(unpack, schema).toDF(*names), required)
+                text = text_of(content, encoding)
+                for _ in range(skip):
+                    text.readline()
+                for part in pd.read_csv(text, sep=sep, dtype=str, keep_default_na=False, chunksize=50_000, index_col=False):
+                    yield part.iloc[:, : len(cols)].set_axis(cols, axis=1)
+
+    rows = spark.read.format("binaryFile").load(path).select("content").mapInPandas(unpack, ", ".join(f"{c} string" for c in cols))
+    return _named(rows.toDF(*names), required)
+
+
+def _named(df: DataFrame, required: Sequence[str]) -> DataFrame:
+    names = [header(c) for c in df.columns]
+    names = [n if names.index(n) == k else f"{n}_{k}" for k, n in enumerate(names)]
+    if missing := [r for r in required if r not in names]:
+        raise ValueError(f"missing {', '.join(missing)}; the header has {', '.join(names)}")
+    df = df.toDF(*names)
+    return df.select(*(F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in names))
 
 
 def pick(df: DataFrame, columns: Sequence[str]) -> DataFrame:
