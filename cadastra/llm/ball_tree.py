@@ -83,7 +83,7 @@ def search_shard(rows: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFr
     """The best k of one shard for one block of queries, none below a query's floor."""
     found: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
     if len(rows) and len(queries):
-        x, q = _matrix(rows["v"]), _matrix(queries["v"])
+        x, q = _matrix(rows["v"]), _matrix(queries["q"])
         exact = max(np.abs(x).max(initial=0), 1) * max(np.abs(q).max(initial=0), 1) * max(x.shape[1], 1) < 2**52
         if not exact:  # beyond 53 bits: whole shard in integers
             xi, qi, ids = x.astype(np.int64), q.astype(np.int64), rows["vec_id"].to_numpy(np.int64)
@@ -132,14 +132,13 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64) ->
     deal = lambda c, m: F.pmod(F.xxhash64(c), F.lit(m)).cast("int")
     rows = rows.withColumn("shard", deal("vec_id", shards))
     queries = rows.where(F.pmod("vec_id", F.lit(every)) == 0).select(
-        F.col("vec_id").alias("query_id"), "v", "dim", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int").alias("block")
+        F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.col("dim").alias("qdim"), F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int").alias("qblock")
     )
 
     def search(part: DataFrame, asked: DataFrame, over: list[int]) -> DataFrame:
         left = part.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        right = asked.withColumn("shard", F.explode(F.sequence(F.lit(over[0]), F.lit(over[1]))))
-        key = ["dim", "shard", "block"]
-        return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(
+        right = asked.withColumn("qshard", F.explode(F.sequence(F.lit(over[0]), F.lit(over[1]))))
+        return left.groupBy("dim", "shard", "block").cogroup(right.groupBy("qdim", "qshard", "qblock")).applyInPandas(
             lambda a, b: search_shard(a, b, k), "query_id long, vec_id long, score long"
         )
 
