@@ -16,6 +16,8 @@ from .shared import Scratch, checked_broadcast, components
 #: of 0.85 with 0.997, one of 0.5 with 0.40 (and is then rejected).
 Q, BANDS, ROWS = 8, 8, 4
 SIMILARITY = 0.8
+#: Rounds end when one adds no more than this share of all links found.
+TAIL = 0.001
 U = np.uint64
 FULL = U(0xFFFFFFFFFFFFFFFF)
 SQUEEZE = kernel.LOWER.copy()
@@ -124,23 +126,33 @@ def _candidate_texts(batches):
         yield pa.record_batch([pa.array(nodes, pa.int64()), pa.array(texts, pa.string())], ["node", "t"])
 
 
-def shingles(text: str) -> frozenset:
-    b = text.encode()
-    return frozenset(b[i : i + Q] for i in range(max(len(b) - Q + 1, 1)))
+def shingles(text: str) -> np.ndarray:
+    """Sorted distinct shingles of a normalised line of Q bytes or more, as numbers; none of shorter ones, which only equal lines match."""
+    raw = text.encode()
+    if len(raw) < Q:
+        return np.zeros(0, U)
+    return np.unique(np.ndarray((len(raw) - Q + 1,), "<u8", raw, strides=(1,)))
+
+
+def similar(s: np.ndarray, t: np.ndarray) -> bool:
+    """Whether two shingle sets have a Jaccard similarity of SIMILARITY or more."""
+    if min(len(s), len(t)) < SIMILARITY * max(len(s), len(t)) or not len(s):
+        return False
+    at = np.minimum(np.searchsorted(t, s), len(t) - 1)
+    both = int((t[at] == s).sum())
+    return both >= SIMILARITY * (len(s) + len(t) - both)
 
 
 def _verified(batches):
-    """Keeps the pairs whose shingle sets have a Jaccard similarity of SIMILARITY or more."""
-    last, s = None, frozenset()
+    """Keeps the pairs of similar lines; each text's shingles are made once a batch."""
     for batch in batches:
+        known: dict[str, np.ndarray] = {}
         ok = []
         for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            la, lb = len(a.encode()), len(b.encode())
-            if a != last:
-                last, s = a, shingles(a)
-            t = shingles(b)
-            both = len(s & t)
-            ok.append(both >= SIMILARITY * (len(s) + len(t) - both) if la and lb else False)
+            for x in (a, b):
+                if x not in known:
+                    known[x] = shingles(x)
+            ok.append(similar(known[a], known[b]))
         yield batch.filter(pa.array(ok, pa.bool_())).select([0, 1])
 
 
@@ -166,15 +178,17 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     Lines are compared lower-cased (A-Z), trimmed and with single spaces. Equal ones are joined by their 128-bit digest; of the
     distinct ones, those that share one of BANDS bands are candidates. Within a band a line meets only two pivots, drawn anew each
     round, never all others: verified pairs (exact Jaccard of the shingle sets) go to the distributed union-find, and rounds go on
-    among the classes that still share a band, until one finds nothing new. The line of the smallest (doc_id, line number) stays.
+    among the classes that still share a band until they find next to nothing (TAIL). Like banding itself, this may leave a pair of
+    similar lines apart; tests measure how few. The line of the smallest (doc_id, line number) stays.
 
     Blank lines are no candidates and stay. Null texts come back null with no lines, empty ones unchanged; null doc_ids order last.
     Rows repeated with equal doc_id and text count as one document: they come back equal. A document may lose all of its lines; its
-    row stays. Empty tables give empty results; other columns pass through.
+    row stays. Empty tables give empty results; other columns pass through, but for n_lines and n_dropped, which are replaced.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "line_dedup")
-    others = [c for c in docs.columns if c not in ("text",)]
+    docs = docs.drop("n_lines", "n_dropped")
+    others = [c for c in docs.columns if c != "text"]
     ident = [F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("dk"), F.xxhash64("text").alias("th")]
     src = docs.select(*ident, F.col("text").cast("string").alias("text")).where("text is not null and text <> ''")
     schema = "dk long, th long, line int, d1 long, d2 long, bands array<long>"
@@ -189,28 +203,28 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     )
     texts = src.join(checked_broadcast(where, 160), ["dk", "th"])
     texts = scratch.put(texts.select("text", "lines", "nodes").mapInArrow(_candidate_texts, "node long, t string").dropDuplicates(["node"]), "texts")
-    links = None
-    comp = nodes.select("node", F.col("node").alias("root"))
-    for again in range(1, 1000):
+    comp, total, again = scratch.put(nodes.select("node", F.col("node").alias("root")), "comp"), 0, 0
+    while True:
+        again += 1
         salt = F.xxhash64(F.col("d1"), F.col("band"), F.lit(again))
-        live = posts.join(comp, F.col("d1") == F.col("node")).select("band", "d1", "root", salt.alias("o"))
+        live = posts.join(checked_broadcast(comp, 48), F.col("d1") == F.col("node")).select("band", "d1", "root", salt.alias("o"))
         ends = live.groupBy("band").agg(
             F.min(F.struct("o", "d1", "root")).alias("p"), F.max(F.struct("o", "d1", "root")).alias("q"), F.min("root").alias("lo"), F.max("root").alias("hi")
         )
-        ends = ends.where("lo <> hi").select("band", F.explode(F.array("p", "q")).alias("p"))
-        pairs = live.join(ends, "band").where("root <> p.root").select(F.greatest("d1", "p.d1").alias("u"), F.least("d1", "p.d1").alias("v")).distinct()
+        ends = scratch.put(ends.where("lo <> hi").select("band", F.explode(F.array("p", "q")).alias("p")), "ends")
+        pairs = live.join(checked_broadcast(ends, 96), "band").where("root <> p.root")
+        pairs = pairs.select(F.greatest("d1", "p.d1").alias("u"), F.least("d1", "p.d1").alias("v")).distinct()
         a, b = texts.select(F.col("node").alias("u"), F.col("t").alias("tu")), texts.select(F.col("node").alias("v"), F.col("t").alias("tv"))
-        near = F.least(F.octet_length("tu"), F.octet_length("tv")) >= (SIMILARITY - 0.01) * 0.5 * F.greatest(F.octet_length("tu"), F.octet_length("tv"))
-        found = scratch.put(
-            pairs.join(a, "u").join(b, "v").where(near).select("u", "v", "tu", "tv").mapInArrow(_verified, "u long, v long"), "links"
-        )
-        if found.isEmpty():
+        found = scratch.put(pairs.join(a, "u").join(b, "v").select("u", "v", "tu", "tv").mapInArrow(_verified, "u long, v long"), "links")
+        new = found.count()
+        total += new
+        if new:  # only roots are joined anew
+            of = lambda c, r: checked_broadcast(comp, 48, alias=lambda x: x.select(F.col("node").alias(c), F.col("root").alias(r)))
+            edges = found.join(of("u", "ru"), "u").join(of("v", "rv"), "v").select(F.col("ru").alias("u"), F.col("rv").alias("v"))
+            got = scratch.put(components(edges, scratch).select(F.col("node").alias("root"), F.col("root").alias("up")), "roots")
+            comp = scratch.put(comp.join(checked_broadcast(got, 48), "root", "left").select("node", F.coalesce("up", "root").alias("root")), "comp")
+        if new <= TAIL * total:
             break
-        links = found if links is None else links.unionAll(found)
-        got = components(links, scratch)
-        comp = scratch.put(
-            nodes.join(got, "node", "left").select("node", F.coalesce("root", "node").alias("root")), "comp"
-        )
     rooted = scratch.put(comp.where("node <> root"), "rooted")
     joined = rows.select("dk", "th", "line", "d1", "d2").join(
         checked_broadcast(rooted, 48, alias=lambda x: x.withColumnRenamed("node", "d1")), "d1", "left"
@@ -221,11 +235,13 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     kept = members.where("dk = first").groupBy("g").agg(F.min(F.struct("line", "th")).alias("k"))
     drops = members.join(kept, "g").where("not (dk = first and line = k.line and th = k.th)").select("dk", "th", "line").distinct()
     drops = scratch.put(drops.groupBy("dk", "th").agg(F.collect_list("line").alias("dropped")), "drops")
-    base = docs.select(*ident, F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"), *others, F.col("text"))
-    base = base.withColumn("n_lines", F.when(F.col("text").isNull() | (F.col("text") == ""), 0).otherwise(F.col("n_lines")).cast("long"))
-    marked = base.join(checked_broadcast(drops, 256), ["dk", "th"], "left").drop("dk", "th")
+    key = [F.col(k).alias(f"_line_{k}") for k in ("dk", "th", "dropped")]
+    text = F.coalesce(F.col("text"), F.lit(""))
+    n_lines = F.when(text == "", 0).otherwise(F.size(F.split(text, "\n"))).cast("long").alias("n_lines")
+    base = docs.select(n_lines, *others, "text", *(i.alias(f"_line_{k}") for i, k in zip(ident, ("dk", "th"))))
+    marked = base.join(checked_broadcast(drops, 256, alias=lambda x: x.select(*key)), ["_line_dk", "_line_th"], "left")
     out = ["n_lines", *others, "text"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in marked.select(*out).schema) + ", n_dropped long"
-    cut = marked.where("dropped is not null").select(*out, "dropped").mapInArrow(_rebuilt, schema)
-    whole = marked.where("dropped is null").select(*out, F.lit(0).cast("long").alias("n_dropped"))
-    return cut.unionByName(whole).select("n_lines", "n_dropped", *docs.columns)
+    cut = marked.where("_line_dropped is not null").select(*out, "_line_dropped").mapInArrow(_rebuilt, schema)
+    whole = marked.where("_line_dropped is null").select(*out, F.lit(0).cast("long").alias("n_dropped"))
+    return cut.unionByName(whole).select("n_lines", "n_dropped", *others[: docs.columns.index("text")], "text", *others[docs.columns.index("text") :])
