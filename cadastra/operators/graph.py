@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable
 
 import pandas as pd
@@ -12,24 +10,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .geo import distance_join
-from .relational import dimension
+from .relational import cut, dimension
 
 #: Metres walked a minute, longest transfer walk, detour of streets against the straight line.
 WALK, TRANSFER, DETOUR = 80.0, 300.0, 1.3
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Ends the lineage of an iteration: a Parquet table in the shared checkpoint folder."""
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="cadastra-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/step-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def connected(edges: DataFrame) -> DataFrame:
     """node, root (smallest node of the component) for edges(u, v). Every round gives each node the smallest label around it and then
     that label's own label, so long paths halve; it ends when no label changed."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -13,6 +15,18 @@ from pyspark.sql import functions as F
 DIMENSION_ROWS = 100_000
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """A Parquet copy in the shared checkpoint folder: ends the lineage, and later readings all see the same rows and partitions."""
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = tempfile.mkdtemp(prefix="cadastra-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    path = f"{base.rstrip('/')}/step-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def dimension(df: DataFrame) -> DataFrame:
     """A side that is broadcast only if a bounded count proves it small."""
     return F.broadcast(df) if df.limit(DIMENSION_ROWS + 1).count() <= DIMENSION_ROWS else df
@@ -81,32 +95,39 @@ def insert_ignore(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFra
     return old.unionByName(new.join(old.select(*key), list(key), "left_anti"))
 
 
-def deciles(df: DataFrame, order: Sequence[Column], parts: int = 10, bits: str = "_part") -> DataFrame:
-    """df with `decile`, equal-count slices of the given total order: ceil(parts * place / rows). The place is the range partition's
-    offset plus the place within it, so no task sees more than its range."""
+def deciles(df: DataFrame, order: Sequence[Column], parts: int = 10) -> DataFrame:
+    """df with `decile`, equal-count slices of the given total order: ceil(parts * place / rows)."""
     placed, n = places(df, order)
     return placed.withColumn("decile", F.ceil(F.lit(parts) * F.col("place") / F.lit(n)).cast("int"))
 
 
+def running(df: DataFrame, order: Sequence[Column], value: Column) -> tuple[DataFrame, float]:
+    """df with `before`, the sum of a value over all rows before it in a total order, and the whole sum. Rows are dealt by range and
+    written once; the driver gets one sum per partition, and each task adds up its own range."""
+    ranged = cut(df.withColumn("_value", value).repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    sums = sorted((r["_part"], r["s"]) for r in ranged.groupBy("_part").agg(F.sum("_value").alias("s")).collect())
+    offsets, total = [], 0
+    for part, s in sums:
+        offsets.append((part, total))
+        total += s
+    if not offsets:
+        return df.withColumn("before", F.lit(None).cast("long")), 0
+    base = F.element_at(F.create_map(*(F.lit(x) for pair in offsets for x in pair)), F.col("_part"))
+    within = F.sum("_value").over(W.partitionBy("_part").orderBy(*order).rowsBetween(W.unboundedPreceding, -1))
+    return ranged.withColumn("before", base + F.coalesce(within, F.lit(0))).drop("_part", "_value"), total
+
+
 def places(df: DataFrame, order: Sequence[Column]) -> tuple[DataFrame, int]:
     """df with `place`, its 1-based place in a total order over the whole table, and the number of rows."""
-    ranged = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-    sizes = sorted((r["_part"], r["count"]) for r in ranged.groupBy("_part").count().collect())  # one row a partition
-    offsets, total = {}, 0
-    for p, c in sizes:
-        offsets[p], total = total, total + c
-    if not offsets:
-        return df.withColumn("place", F.lit(None).cast("long")), 0
-    base = F.element_at(F.create_map(*(F.lit(x) for p, o in offsets.items() for x in (p, o))), F.col("_part"))
-    within = F.row_number().over(W.partitionBy("_part").orderBy(*order))
-    return ranged.withColumn("place", (base + within).cast("long")).drop("_part"), total
+    out, n = running(df, order, F.lit(1).cast("long"))
+    return out.withColumn("place", F.col("before") + 1).drop("before"), n
 
 
 def auc(df: DataFrame, score: str, positive: str) -> DataFrame:
-    """One row with n, positives and auc (mean ranks for ties, null without both classes). Ties are counted per distinct score first,
-    so only those are ranked."""
+    """One row with n, positives and auc (mean ranks for ties, null without both classes). Ties are counted per distinct score first;
+    the ranks of those are running sums over ranges."""
     g = df.groupBy(score).agg(F.count(F.lit(1)).alias("c"), F.sum(F.col(positive).cast("long")).alias("p"))
-    placed = g.withColumn("before", F.coalesce(F.sum("c").over(W.orderBy(score).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    placed, _ = running(g, [F.col(score)], F.col("c"))
     t = placed.agg(F.sum("c").alias("n"), F.sum("p").alias("positives"), F.sum(F.col("p") * (F.col("before") + (F.col("c") + 1) / 2.0)).alias("r"))
     p, q = F.col("positives"), F.col("n") - F.col("positives")
     return t.select("n", "positives", F.when((p > 0) & (q > 0), F.round((F.col("r") - p * (p + 1) / 2.0) / (p * q), 4)).alias("auc"))
