@@ -15,8 +15,12 @@ from .shared import Scratch, checked_broadcast, components
 U = np.uint64
 #: Counters in one block of the frequency sketch; the sketch has 2^16 to 2^22 counters, by the number of documents.
 BLOCK, LEAST_BITS, MOST_BITS = 4096, 16, 22
+#: Share of all shingles, by hash, over which tokens of one class only are counted first: so many times the distance allowed.
+OWN_SHARE = 2.0
 #: Longest prefix extension, and the cost of verifying a candidate in postings read.
 MOST_MATCHES, VERIFY = 4, 8.0
+#: Rounds of pivots end when one adds no more than this share of the links found; the exact step takes what is left.
+STARS = 0.02
 
 
 def token_sets(column: pa.Array, words: int):
@@ -90,9 +94,10 @@ def matches_needed(excess: np.ndarray, base: int, need: int) -> int:
 
 def prefix_batches(batches, words: int, percent: int, freq: np.ndarray):
     bits = int(np.log2(len(freq)))
+    some = U(min(0xFFFF, int(OWN_SHARE * (100 - percent) / 100 * 0x10000)))
     usual = float(freq.mean()) + 4 * float(freq.mean()) ** 0.5 + 4
     for batch in batches:
-        n, s1, s2, matches, prefix = [], [], [], [], []
+        n, s1, s2, matches, prefix, sample = [], [], [], [], [], []
         for s in token_sets(batch.column(2), words):
             n.append(len(s))
             d = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
@@ -104,9 +109,8 @@ def prefix_batches(batches, words: int, percent: int, freq: np.ndarray):
             base = len(s) - need + 1
             k = matches_needed(np.maximum(f[order] - usual, 0.0), base, need) if len(s) else 1
             matches.append(k)
+            sample.append(s[(s & U(0xFFFF)) < some].view(np.int64))
             prefix.append(s[order[: base + k - 1]].view(np.int64) if len(s) else np.zeros(0, np.int64))
-        lengths = np.cumsum([0, *map(len, prefix)], dtype=np.int32)
-        flat = np.concatenate(prefix) if prefix else np.zeros(0, np.int64)
         yield pa.record_batch(
             [
                 batch.column(0),
@@ -115,18 +119,22 @@ def prefix_batches(batches, words: int, percent: int, freq: np.ndarray):
                 pa.array(s1, pa.int64()),
                 pa.array(s2, pa.int64()),
                 pa.array(matches, pa.int32()),
-                pa.ListArray.from_arrays(lengths, pa.array(flat, pa.int64())),
+                _lists(prefix),
+                _lists(sample),
             ],
-            ["doc_id", "th", "n", "s1", "s2", "matches", "prefix"],
+            ["doc_id", "th", "n", "s1", "s2", "matches", "prefix", "sample"],
         )
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
+    return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int64), pa.int64()))
+
+
 def set_batches(batches, words: int):
     for batch in batches:
         sets = [s.view(np.int64) for s in token_sets(batch.column(1), words)]
-        lengths = np.cumsum([0, *map(len, sets)], dtype=np.int32)
-        flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-        yield pa.record_batch([batch.column(0), pa.ListArray.from_arrays(lengths, pa.array(flat, pa.int64()))], ["node", "tokens"])
+        yield pa.record_batch([batch.column(0), _lists(sets)], ["node", "tokens"])
 
 
 def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -139,8 +147,10 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     1. Equal sets become one class (128-bit digest). Tokens are ordered by an estimate of their document frequency, then by hash. A
        class's prefix are its rarest tokens, lengthened where frequent ones raise its estimated candidate cost; a pair is a candidate
        only if it shares as many prefix tokens as the smaller of both extensions asks for.
-    2. Only tokens in two or more classes' prefixes keep their postings. Over the whole sets of the classes that remain, tokens that
-       no other of them has are counted; these bound a pair's overlap, and classes or pairs that cannot reach the threshold go.
+    2. Tokens that only one class has bound its overlap with any other. They are counted over a share of all shingles, drawn by hash
+       (what isn't counted only makes the bound looser), and classes that cannot reach the threshold go: all but near copies, in most
+       corpora. Prefix tokens in two or more of the classes left keep their postings; over these classes' whole sets the same count
+       is made once more in full, and bounds classes and pairs.
     3. Each token's postings first meet two pivots only, the class with the smallest share of such own tokens and one drawn anew each
        round; verified links make components. What is left to try are pairs in different components, by prefix tokens that still see
        two or more; these all are verified. A large group of near copies hangs together by its pivot and never becomes all pairs.
@@ -154,7 +164,7 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), text)
     bits = min(max(int(max(docs.count(), 1)).bit_length() + 2, LEAST_BITS), MOST_BITS)
     freq = spark.sparkContext.broadcast(frequencies(src.select("text"), words, bits))
-    schema = "doc_id long, th long, n long, s1 long, s2 long, matches int, prefix array<long>"
+    schema = "doc_id long, th long, n long, s1 long, s2 long, matches int, prefix array<long>, sample array<long>"
     rows = scratch.put(src.mapInArrow(lambda it: prefix_batches(it, words, percent, freq.value), schema), "rows")
     seed = 0
     while True:  # node: 64 bits of the digest; hashed anew in the unlikely case that two classes share them
@@ -164,6 +174,11 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         if classes.groupBy("node").count().where("count > 1").isEmpty():
             break
         seed += 1
+    tokens = full.select("node", F.explode("sample").alias("token")).groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+    own = tokens.where("lo = hi").groupBy(F.col("lo").alias("node")).agg(F.count(F.lit(1)).alias("own"))
+    far = scratch.put(own.join(full.select("node", "n").distinct(), "node").where(f"100 * (n - own) < {percent} * n").select("node"), "far")
+    near = scratch.put(full.select("node").distinct().join(far, "node", "left_anti"), "near")
+    full = full.join(checked_broadcast(near, 48), "node", "left_semi")
     posts = full.select(F.explode("prefix").alias("token"), "node", "n", "matches")
     shared = scratch.put(posts.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("token"), "tokens")
     posts = scratch.put(posts.join(checked_broadcast(shared, 48), "token", "left_semi").distinct(), "posts")
@@ -182,7 +197,7 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 
 
 def linked(src: DataFrame, full: DataFrame, posts: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
-    """node, root of the classes that have links."""
+    """node, root (of its component) of the classes that may have links."""
     nodes = posts.select("node").distinct()
     where = full.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "th")).alias("m"))
     where = scratch.put(where.select("node", "m.doc_id", "m.th").withColumnRenamed("doc_id", "id"), "where")
@@ -213,8 +228,13 @@ def linked(src: DataFrame, full: DataFrame, posts: DataFrame, words: int, percen
             pairs.join(u, "u").join(v, "v").where((100 + percent) * both >= percent * (F.size("x") + F.size("y"))).select("u", "v"), "links"
         )
 
-    links, comp = None, scratch.put(posts.select("node").distinct().withColumn("root", F.col("node")), "comp")
-    again = 0
+    def merged(comp: DataFrame, found: DataFrame) -> DataFrame:
+        of = lambda c, r: checked_broadcast(comp, 48, alias=lambda x: x.select(F.col("node").alias(c), F.col("root").alias(r)))
+        edges = found.join(of("u", "ru"), "u").join(of("v", "rv"), "v").select(F.col("ru").alias("u"), F.col("rv").alias("v"))
+        got = scratch.put(components(edges, scratch).select(F.col("node").alias("root"), F.col("root").alias("up")), "roots")
+        return scratch.put(comp.join(checked_broadcast(got, 48), "root", "left").select("node", F.coalesce("up", "root").alias("root")), "comp")
+
+    comp, total, again = scratch.put(posts.select("node").distinct().withColumn("root", F.col("node")), "comp"), 0, 0
     while True:
         again += 1
         live = posts.join(checked_broadcast(comp, 48), "node").select("token", F.struct("node", "root", "n", "most", "matches").alias("a"))
@@ -225,23 +245,21 @@ def linked(src: DataFrame, full: DataFrame, posts: DataFrame, words: int, percen
             F.max("a.root").alias("hi"),
         )
         mixed = scratch.put(mixed.where("lo <> hi").select("token", F.array("p.b", "q.b").alias("b")), "mixed")
-        live = live.join(checked_broadcast(mixed.select("token").transform(lambda x: scratch.put(x, "keys")), 48), "token", "left_semi")
-        pair = [F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")]
-        star = live.join(mixed.select("token", F.explode("b").alias("b")), "token").where(f"a.root <> b.root and {can}").select(*pair).distinct()
-        found = verified(star)
-        if found.isEmpty():
+        if total is None or mixed.isEmpty():
             break
-        links = found if links is None else links.unionAll(found)
-        got = components(links, scratch)
-        comp = scratch.put(comp.select("node").join(got, "node", "left").select("node", F.coalesce("root", "node").alias("root")), "comp")
+        star = live.join(checked_broadcast(mixed, 160), "token").select("a", F.explode("b").alias("b")).where(f"a.root <> b.root and {can}")
+        found = verified(star.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).distinct())
+        new = found.count()
+        total += new
+        if new:
+            comp = merged(comp, found)
+        if new <= STARS * total:
+            total = None  # the rest is left to the exact step, over the components as they are now
+    live = scratch.put(live.join(checked_broadcast(mixed, 160, alias=lambda x: x.select("token")), "token", "left_semi"), "open")
     other = live.select("token", F.col("a").alias("b"))
     cross = live.join(other, (live["token"] == other["token"]) & F.expr(f"a.node < b.node and a.root <> b.root and {can}"))
     cross = cross.groupBy(F.col("a.node").alias("u"), F.col("b.node").alias("v")).agg(
         F.count(F.lit(1)).alias("c"), F.min(F.least("a.matches", "b.matches")).alias("need")
     )
     found = verified(cross.where("c >= need").select("u", "v"))
-    if not found.isEmpty():
-        links = found if links is None else links.unionAll(found)
-    if links is None:
-        return comp.where("false")
-    return components(links, scratch)
+    return comp if found.isEmpty() else merged(comp, found)
