@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import gc
 import math
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import kernel
+from .shared import small_batches
 
 #: The vocabulary file of a public tokenizer; a parameter of every function here.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -71,11 +74,10 @@ class Model:
             raise ValueError("a piece crosses words")
         self.bytes = {int(p[3:5], 16): i for i, (p, t) in enumerate(zip(self.pieces, self.types)) if t == BYTE}
         self.unk = self.types.index(UNKNOWN)
-        self.longest = max(map(len, usable), default=1)
         self.known = {p for p in usable if len(p) == 1}
         low = min((s for s, t in zip(self.scores, self.types) if t == NORMAL), default=0.0)
         self.unk_score = low - 10.0
-        self.valid: dict[tuple[int, int], bool] = {}
+        self.valid: dict[int, bool] = {}
 
     def fallback(self, text: str) -> list[int]:
         """Ids of characters that no piece covers."""
@@ -102,18 +104,28 @@ class Model:
 
     def follows(self, a: int, b: int) -> bool:
         """Whether piece b may stand after piece a: together they encode to just these two."""
-        got = self.valid.get((a, b))
-        if got is None:
-            if len(self.valid) > 4_000_000:
-                self.valid.clear()
-            got = self.valid[a, b] = self.merge(self.pieces[a] + self.pieces[b]) == [a, b]
+        if len(self.valid) > 1_000_000:
+            self.valid.clear()
+        got = self.valid[a << 32 | b] = self.merge(self.pieces[a] + self.pieces[b]) == [a, b]
         return got
 
-    def whole(self, i: int) -> bool:
-        got = self.valid.get((-1, i))
-        if got is None:
-            got = self.valid[-1, i] = self.merge(self.pieces[i]) == [i]
-        return got
+    def automaton(self) -> tuple[dict[tuple[int, str], int], list[int]]:
+        """The trie of pieces: next node by (node, character), and the piece that ends at a node (-1 without one). For a byte-pair model
+        pieces that their own encoding doesn't reach are left out."""
+        if not hasattr(self, "_trie"):
+            step, ends = {}, [-1]
+            for p, i in self.ids.items():
+                if self.kind == BPE and len(p) > 1 and self.merge(p) != [i]:
+                    continue
+                node = 0
+                for c in p:
+                    if (node, c) not in step:
+                        step[node, c] = len(ends)
+                        ends.append(-1)
+                    node = step[node, c]
+                ends[node] = i
+            self._trie = step, ends
+        return self._trie
 
     # -- depth-first over sorted words
 
@@ -126,28 +138,47 @@ class Model:
         that may follow the encoding of what stands before it.
         """
         out, before = [], ""
-        score, last = [0.0], [-1]  # state after each prefix of the path; last: id of the piece that ends there
-        unigram = self.kind == UNIGRAM
-        ids, pieces, longest, scores = self.ids, self.pieces, self.longest, self.scores
+        step, ends = self.automaton()
+        unigram, scores, pieces, valid, follows = self.kind == UNIGRAM, self.scores, self.pieces, self.valid, self.follows
+        # state after each prefix of the path: score, piece that ends there, and (start, node) of the pieces that may still go on
+        score, last, open_ = [0.0], [-1], [[]]
         for word in words:
             n = min(len(before), len(word))
             same = next((k for k in range(n) if before[k] != word[k]), n)
-            del score[same + 1 :], last[same + 1 :]
-            for end in range(same + 1, len(word) + 1):
-                best, at = -math.inf, -1
-                for start in range(max(0, end - longest), end):
-                    i = ids.get(word[start:end])
-                    if i is None:
+            del score[same + 1 :], last[same + 1 :], open_[same + 1 :]
+            alive = open_[same]
+            for end in range(same, len(word)):
+                c, best, at, live = word[end], -math.inf, -1, []
+                for start, node in alive:  # longest first
+                    node = step.get((node, c))
+                    if node is not None:
+                        live.append((start, node))
+                node = step.get((0, c))
+                if node is not None:
+                    live.append((end, node))
+                for start, node in live:
+                    i = ends[node]
+                    if i < 0:
                         continue
                     if unigram:
                         s = score[start] + scores[i]
                         if s > best:
                             best, at = s, i
-                    elif self.whole(i) and (start == 0 or self.follows(last[start], i)):
-                        at = i
-                        break
+                    else:
+                        a = last[start]
+                        if a < 0:
+                            if start == 0:
+                                at = i
+                                break
+                            continue
+                        ok = valid.get(a << 32 | i)
+                        if ok or ok is None and follows(a, i):
+                            at = i
+                            break
                 score.append(best)
                 last.append(at)
+                open_.append(live)
+                alive = live
             got, end = [], len(word)
             while end > 0:
                 got.append(last[end])
@@ -158,7 +189,8 @@ class Model:
 
     def encode_words(self, words: set[str]) -> dict[str, list[int]]:
         """Ids of distinct marked words of any characters."""
-        parts = {w: re.findall(self.known_run, w) for w in words}
+        split = self.known_run.findall
+        parts = {w: split(w) for w in words}
         runs = {r for p in parts.values() for r in p if r[0] in self.known}
         plain = sorted(r for r in runs if not (self.kind == BPE and r.startswith(MARK * 2)))
         got = dict(zip(plain, self.encode_sorted(plain)))
@@ -198,7 +230,7 @@ class Model:
 #: A mark with what follows it, or the piece of text before the first mark.
 WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _models: dict[str, Model] = {}
-_seen: dict[str, dict[str, np.ndarray]] = {}
+_tables: dict[str, "_Table"] = {}
 
 
 def load(path: str) -> Model:
@@ -210,22 +242,44 @@ def load(path: str) -> Model:
 
 
 class _Table:
-    """Words by number, with the ids and bytes of their pieces in flat arrays."""
+    """Words by number, with the ids of their pieces in one flat array that grows as needed."""
 
     def __init__(self, model: Model):
-        self.model, self.number, self.ids = model, {}, []
+        self.model = model
+        self.clear()
+
+    def clear(self) -> None:
+        self.number, self.used = {}, 0
+        self.flat, self.begin, self.lengths = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
     def add(self, words: set[str]) -> None:
         new = words - self.number.keys()
         if len(self.number) + len(new) > REMEMBERED:
-            self.number, self.ids = {}, []
+            self.clear()
             new = words
-        for w, ids in self.model.encode_words(new).items():
-            self.number[w] = len(self.ids)
-            self.ids.append(ids)
-        self.lengths = np.array([len(x) for x in self.ids], np.int64)
-        self.begin = np.concatenate([[0], np.cumsum(self.lengths)])
-        self.flat = np.fromiter((i for x in self.ids for i in x), np.int32, int(self.begin[-1]))
+        if not new:
+            return
+        got = self.model.encode_words(new)
+        count = np.fromiter(map(len, got.values()), np.int64, len(got))
+        flat = np.fromiter((i for x in got.values() for i in x), np.int32, int(count.sum()))
+        n, m = len(self.number), self.used + len(flat)
+        if m > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(m, np.int32)])
+        if n + len(got) > len(self.begin):
+            more = np.zeros(n + len(got), np.int64)
+            self.begin, self.lengths = np.concatenate([self.begin, more]), np.concatenate([self.lengths, more])
+        self.flat[self.used : m] = flat
+        self.lengths[n : n + len(got)] = count
+        self.begin[n : n + len(got)] = self.used + np.cumsum(count) - count
+        self.number.update(zip(got, range(n, n + len(got))))
+        self.used = m
+
+
+def table_of(path: str) -> _Table:
+    """This worker's table, kept from task to task."""
+    if path not in _tables:
+        _tables[path] = _Table(load(path))
+    return _tables[path]
 
 
 def _gather(flat: np.ndarray, begin: np.ndarray, lengths: np.ndarray, pick: np.ndarray) -> np.ndarray:
@@ -255,9 +309,8 @@ def encode_column(table: _Table, texts: list[str]) -> tuple[np.ndarray, np.ndarr
     """Flat ids of a list of texts and their offsets."""
     model = table.model
     words = [WORD.findall(model.marked(t)) for t in texts]
-    table.add({w for x in words for w in x})
-    number = table.number
-    pick = np.fromiter((number[w] for x in words for w in x), np.int64, sum(map(len, words)))
+    table.add(set().union(*words))
+    pick = np.fromiter(map(table.number.__getitem__, chain.from_iterable(words)), np.int64, sum(map(len, words)))
     per_word = np.concatenate([[0], np.cumsum(table.lengths[pick])])
     at = np.concatenate([[0], np.cumsum([len(x) for x in words])])
     return _gather(table.flat, table.begin, table.lengths, pick), per_word[at]
@@ -271,12 +324,14 @@ def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
     round_trip; empty ones no ids; repeated rows come back each; other columns pass through. With a model that squeezes spaces the
     round trip is to the squeezed text.
     """
+    small_batches(docs.sparkSession)
     at = docs.columns.index("text")
     others = [k for k, c in enumerate(docs.columns) if c != "text"]
+    names = [*(docs.columns[k] for k in others), "n_tokens", "token_ids", "round_trip"]
 
     def run(batches):
-        model = load(path)
-        table = _Table(model)
+        gc.disable()  # millions of small lists, none in a cycle
+        model, table = load(path), table_of(path)
         flat, begin, lengths = piece_bytes(model)
         for batch in batches:
             _, offsets = kernel.buffers(batch.column(at))
@@ -298,7 +353,7 @@ def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
                     lists = pa.array([None if n else x for n, x in zip(null.to_pylist(), lists.to_pylist())], pa.list_(pa.int32()))
                 yield pa.record_batch(
                     [*(part.column(k) for k in others), pa.array(np.diff(ends)), lists, pa.array(same, pa.bool_())],
-                    [*(docs.columns[k] for k in others), "n_tokens", "token_ids", "round_trip"],
+                    names,
                 )
 
     schema = ", ".join(f"`{docs.schema[k].name}` {docs.schema[k].dataType.simpleString()}" for k in others)
@@ -307,6 +362,7 @@ def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
 
 def decode(tokens: DataFrame, path: str = MODEL) -> DataFrame:
     """All columns of tokens(token_ids, ...) and text; null ids give a null text."""
+    small_batches(tokens.sparkSession)
     at = tokens.columns.index("token_ids")
 
     def run(batches):

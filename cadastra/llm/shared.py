@@ -21,6 +21,17 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Rows that go to a Python worker at once; long texts make the session's default of 10 000 a matter of hundreds of megabytes.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches, for workers with little memory; a smaller bound that is set stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "0")) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 class Scratch:
     """Intermediate tables of one run, written as Parquet to the shared folder. Reading them back cuts the lineage, survives the
     loss of executors and gives the planner real sizes."""
