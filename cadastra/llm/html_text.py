@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import small_batches
+
 
 def _set(names: str) -> frozenset[str]:
     return frozenset(names.split())
@@ -441,6 +443,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -
     as in HTML. Null pages give a null text with 0 characters, empty ones an empty text; repeated pages come back each.
     """
 
+    small_batches(pages.sparkSession)
+
     def run(batches):
         sys.setrecursionlimit(max(sys.getrecursionlimit(), 20 * DEEPEST))
         for batch in batches:

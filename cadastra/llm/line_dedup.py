@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel
-from .shared import Scratch, checked_broadcast, components
+from .shared import Scratch, checked_broadcast, components, small_batches
 
 #: Bytes in a shingle, bands, rows in a band. A pair of Jaccard 0.8 shares a band with probability 1 - (1 - 0.8^4)^8 = 0.985, one
 #: of 0.85 with 0.997, one of 0.5 with 0.40 (and is then rejected).
@@ -186,6 +186,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     row stays. Empty tables give empty results; other columns pass through, but for n_lines and n_dropped, which are replaced.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     scratch = Scratch(spark, "line_dedup")
     docs = docs.drop("n_lines", "n_dropped")
     others = [c for c in docs.columns if c != "text"]
