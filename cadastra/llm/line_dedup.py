@@ -197,14 +197,15 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     posts = rows.select(F.explode("bands").alias("band"), "d1")
     shared = scratch.put(posts.groupBy("band").agg(F.min("d1").alias("lo"), F.max("d1").alias("hi")).where("lo <> hi").select("band"), "bands")
     posts = scratch.put(posts.join(checked_broadcast(shared, 48), "band", "left_semi").distinct(), "posts")
-    nodes = posts.select(F.col("d1").alias("node")).distinct()
-    where = rows.join(nodes, F.col("d1") == F.col("node"), "left_semi").groupBy("d1").agg(F.min(F.struct("dk", "th", "line")).alias("m"))
+    nodes = scratch.put(posts.select(F.col("d1").alias("node")).distinct(), "nodes")
+    found = rows.join(checked_broadcast(nodes, 40), F.col("d1") == F.col("node"), "left_semi")
+    where = found.groupBy("d1").agg(F.min(F.struct("dk", "th", "line")).alias("m"))
     where = scratch.put(
         where.groupBy("m.dk", "m.th").agg(F.collect_list("m.line").alias("lines"), F.collect_list("d1").alias("nodes")), "where"
     )
     texts = src.join(checked_broadcast(where, 160), ["dk", "th"])
     texts = scratch.put(texts.select("text", "lines", "nodes").mapInArrow(_candidate_texts, "node long, t string").dropDuplicates(["node"]), "texts")
-    comp, total, again = scratch.put(nodes.select("node", F.col("node").alias("root")), "comp"), 0, 0
+    comp, total, again = nodes.select("node", F.col("node").alias("root")), 0, 0
     while True:
         again += 1
         salt = F.xxhash64(F.col("d1"), F.col("band"), F.lit(again))
