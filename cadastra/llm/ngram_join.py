@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel
-from .shared import Scratch, checked_broadcast, components
+from .shared import Scratch, checked_broadcast, components, small_batches
 
 U = np.uint64
 #: Counters in one block of the frequency sketch; the sketch has 2^16 to 2^22 counters, by the number of documents.
@@ -21,6 +21,8 @@ OWN_SHARE = 2.0
 MOST_MATCHES, VERIFY = 4, 8.0
 #: Rounds of pivots end when one adds no more than this share of the links found; the exact step takes what is left.
 STARS = 0.02
+#: Longest list of prefix tokens that a posting carries; pairs of longer ones are told apart after the join.
+LISTED = 256
 
 
 def token_sets(column: pa.Array, words: int):
@@ -159,6 +161,7 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     empty results.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     scratch = Scratch(spark, "ngram_join")
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), text)
@@ -255,11 +258,18 @@ def linked(src: DataFrame, full: DataFrame, posts: DataFrame, words: int, percen
             comp = merged(comp, found)
         if new <= STARS * total:
             total = None  # the rest is left to the exact step, over the components as they are now
-    live = scratch.put(live.join(checked_broadcast(mixed, 160, alias=lambda x: x.select("token")), "token", "left_semi"), "open")
-    other = live.select("token", F.col("a").alias("b"))
-    cross = live.join(other, (live["token"] == other["token"]) & F.expr(f"a.node < b.node and a.root <> b.root and {can}"))
+    live = live.join(checked_broadcast(mixed, 160, alias=lambda x: x.select("token")), "token", "left_semi")
+    # a pair comes out of the join once, at its smallest common token, if it has as many as needed; classes with very long prefixes
+    # carry no list of theirs, and their pairs are counted after the join
+    lists = live.groupBy(F.col("a.node").alias("node")).agg(F.array_sort(F.collect_list("token")).alias("prefix")).where(F.size("prefix") <= LISTED)
+    lists = scratch.put(lists, "lists")
+    live = scratch.put(live.join(checked_broadcast(lists, 8 * LISTED), F.col("a.node") == F.col("node"), "left").select("token", "a", "prefix"), "open")
+    other = live.select(F.col("token").alias("same"), F.col("a").alias("b"), F.col("prefix").alias("other"))
+    need, common = F.least("a.matches", "b.matches"), F.array_intersect("prefix", "other")
+    once = F.col("prefix").isNull() | F.col("other").isNull() | ((F.get(common, F.lit(0)) == F.col("token")) & (F.size(common) >= need))
+    cross = live.join(other, (F.col("token") == F.col("same")) & F.expr(f"a.node < b.node and a.root <> b.root and {can}") & once)
     cross = cross.groupBy(F.col("a.node").alias("u"), F.col("b.node").alias("v")).agg(
-        F.count(F.lit(1)).alias("c"), F.min(F.least("a.matches", "b.matches")).alias("need")
+        F.count(F.lit(1)).alias("c"), F.min(need).alias("need"), F.bool_or(F.col("prefix").isNotNull() & F.col("other").isNotNull()).alias("counted")
     )
-    found = verified(cross.where("c >= need").select("u", "v"))
+    found = verified(cross.where("counted or c >= need").select("u", "v"))
     return comp if found.isEmpty() else merged(comp, found)
