@@ -16,8 +16,10 @@ from .shared import Scratch, checked_broadcast, components, small_batches
 #: of 0.85 with 0.997, one of 0.5 with 0.40 (and is then rejected).
 Q, BANDS, ROWS = 8, 8, 4
 SIMILARITY = 0.8
-#: Rounds end when one adds no more than this share of all links found.
+#: Rounds of pivots end when one adds no more than this share of all links found; the exact step takes what is left.
 TAIL = 0.001
+#: Longs of a line's parity map, and lines of one band that one task meets with the others of it.
+MAPS, SLICE = 4, 2000
 U = np.uint64
 FULL = U(0xFFFFFFFFFFFFFFFF)
 SQUEEZE = kernel.LOWER.copy()
@@ -114,16 +116,25 @@ def _line_batches(batches):
 
 
 def _candidate_texts(batches):
-    """From rows (text, lines, nodes) the normalised text of each of these lines."""
+    """From rows (text, lines, nodes) the normalised text of each of these lines, its number of shingles and their parity map."""
     for batch in batches:
-        nodes, texts = [], []
+        nodes, texts, size, maps = [], [], [], []
         for text, number, node in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             raw = np.frombuffer(text.encode(), np.uint8)
             buf, starts, ends = normalise(raw, np.array([0, len(raw)]))
             whole = buf.tobytes()
             nodes += node
-            texts += [whole[starts[k] : ends[k]].decode() for k in number]
-        yield pa.record_batch([pa.array(nodes, pa.int64()), pa.array(texts, pa.string())], ["node", "t"])
+            for k in number:
+                t = whole[starts[k] : ends[k]].decode()
+                s = shingles(t)
+                texts.append(t)
+                size.append(len(s))
+                maps.append(parity(s))
+        maps = np.array(maps, np.int64).reshape(-1, MAPS)
+        yield pa.record_batch(
+            [pa.array(nodes, pa.int64()), pa.array(texts, pa.string()), pa.array(size, pa.int32()), *(pa.array(maps[:, i]) for i in range(MAPS))],
+            ["node", "t", *SIGNS],
+        )
 
 
 def shingles(text: str) -> np.ndarray:
@@ -134,6 +145,23 @@ def shingles(text: str) -> np.ndarray:
     return np.unique(np.ndarray((len(raw) - Q + 1,), "<u8", raw, strides=(1,)))
 
 
+SIGNS = ["n", *(f"m{i}" for i in range(MAPS))]
+
+
+def parity(s: np.ndarray) -> np.ndarray:
+    """For each of MAPS * 64 buckets whether an odd number of shingles falls there. Two maps differ in no more bits than their sets in
+    shingles."""
+    at = (kernel.mix(s) & U(64 * MAPS - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=64 * MAPS) & 1).astype(np.uint8)).view("<i8")
+
+
+def may_match(a: str, b: str) -> str:
+    """SQL: false only for pairs that `similar` rejects: at Jaccard j two sets differ in (1 - j) / (1 + j) of their joint sizes."""
+    apart = " + ".join(f"bit_count({a}m{i} ^ {b}m{i})" for i in range(MAPS))
+    sizes = f"least({a}n, {b}n) > 0 and least({a}n, {b}n) + 1e-6D >= {SIMILARITY}D * greatest({a}n, {b}n)"
+    return f"{sizes} and ({apart}) * {1 + SIMILARITY}D <= ({a}n + {b}n) * {1 - SIMILARITY:.6f}D + 1e-3D"
+
+
 def similar(s: np.ndarray, t: np.ndarray) -> bool:
     """Whether two shingle sets have a Jaccard similarity of SIMILARITY or more."""
     if min(len(s), len(t)) < SIMILARITY * max(len(s), len(t)) or not len(s):
@@ -176,10 +204,12 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     n_lines (lines before) and n_dropped in front: exactly one line of each class of near-equal lines stays in the whole corpus.
 
     Lines are compared lower-cased (A-Z), trimmed and with single spaces. Equal ones are joined by their 128-bit digest; of the
-    distinct ones, those that share one of BANDS bands are candidates. Within a band a line meets only two pivots, drawn anew each
-    round, never all others: verified pairs (exact Jaccard of the shingle sets) go to the distributed union-find, and rounds go on
-    among the classes that still share a band until they find next to nothing (TAIL). Like banding itself, this may leave a pair of
-    similar lines apart; tests measure how few. The line of the smallest (doc_id, line number) stays.
+    distinct ones, those that share one of BANDS bands are candidates. Within a band a line first meets only two pivots, drawn anew
+    each round: verified pairs (exact Jaccard of the shingle sets) go to the distributed union-find, and rounds go on among the classes
+    that still share a band until they find next to nothing (TAIL). Then all pairs that share a band and still are in different classes
+    are tried, large bands in slices; parity maps rule out most before their texts are read. So every pair that shares a band is
+    decided, and only banding may leave a pair of similar lines apart; tests measure how few. The line of the smallest (doc_id, line
+    number) stays.
 
     Blank lines are no candidates and stay. Null texts come back null with no lines, empty ones unchanged; null doc_ids order last.
     Rows repeated with equal doc_id and text count as one document: they come back equal. A document may lose all of its lines; its
@@ -204,30 +234,51 @@ def line_dedup(docs: DataFrame) -> DataFrame:
         where.groupBy("m.dk", "m.th").agg(F.collect_list("m.line").alias("lines"), F.collect_list("d1").alias("nodes")), "where"
     )
     texts = src.join(checked_broadcast(where, 160), ["dk", "th"])
-    texts = scratch.put(texts.select("text", "lines", "nodes").mapInArrow(_candidate_texts, "node long, t string").dropDuplicates(["node"]), "texts")
-    comp, total, again = nodes.select("node", F.col("node").alias("root")), 0, 0
+    schema = "node long, t string, n int, " + ", ".join(f"m{i} long" for i in range(MAPS))
+    texts = scratch.put(texts.select("text", "lines", "nodes").mapInArrow(_candidate_texts, schema).dropDuplicates(["node"]), "texts")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        a, b = texts.select(F.col("node").alias("u"), F.col("t").alias("tu")), texts.select(F.col("node").alias("v"), F.col("t").alias("tv"))
+        return scratch.put(pairs.join(a, "u").join(b, "v").select("u", "v", "tu", "tv").mapInArrow(_verified, "u long, v long"), "links")
+
+    def merged(comp: DataFrame, found: DataFrame) -> DataFrame:  # only roots are joined anew
+        of = lambda c, r: checked_broadcast(comp, 48, alias=lambda x: x.select(F.col("node").alias(c), F.col("root").alias(r)))
+        edges = found.join(of("u", "ru"), "u").join(of("v", "rv"), "v").select(F.col("ru").alias("u"), F.col("rv").alias("v"))
+        got = scratch.put(components(edges, scratch).select(F.col("node").alias("root"), F.col("root").alias("up")), "roots")
+        return scratch.put(comp.join(checked_broadcast(got, 48), "root", "left").select("node", F.coalesce("up", "root").alias("root"), *SIGNS), "comp")
+
+    comp, total, again = scratch.put(texts.select("node", F.col("node").alias("root"), *SIGNS), "comp"), 0, 0
     while True:
         again += 1
         salt = F.xxhash64(F.col("d1"), F.col("band"), F.lit(again))
-        live = posts.join(checked_broadcast(comp, 48), F.col("d1") == F.col("node")).select("band", "d1", "root", salt.alias("o"))
-        ends = live.groupBy("band").agg(
-            F.min(F.struct("o", "d1", "root")).alias("p"), F.max(F.struct("o", "d1", "root")).alias("q"), F.min("root").alias("lo"), F.max("root").alias("hi")
-        )
-        ends = scratch.put(ends.where("lo <> hi").select("band", F.explode(F.array("p", "q")).alias("p")), "ends")
-        pairs = live.join(checked_broadcast(ends, 96), "band").where("root <> p.root")
-        pairs = pairs.select(F.greatest("d1", "p.d1").alias("u"), F.least("d1", "p.d1").alias("v")).distinct()
-        a, b = texts.select(F.col("node").alias("u"), F.col("t").alias("tu")), texts.select(F.col("node").alias("v"), F.col("t").alias("tv"))
-        found = scratch.put(pairs.join(a, "u").join(b, "v").select("u", "v", "tu", "tv").mapInArrow(_verified, "u long, v long"), "links")
+        live = posts.join(checked_broadcast(comp, 88), F.col("d1") == F.col("node")).select("band", "d1", "root", *SIGNS)
+        o = F.struct(salt.alias("o"), "d1")
+        ends = live.groupBy("band").agg(F.min(o).alias("p"), F.max(o).alias("q"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+        ends = ends.where("lo <> hi").select("band", F.explode(F.array("p.d1", "q.d1")).alias("node")).join(checked_broadcast(comp, 88), "node")
+        ends = scratch.put(ends.select("band", F.struct("node", "root", *SIGNS).alias("p")), "ends")
+        pairs = live.join(checked_broadcast(ends, 136), "band").where("root <> p.root and " + may_match("", "p."))
+        found = verified(pairs.select(F.greatest("d1", "p.node").alias("u"), F.least("d1", "p.node").alias("v")).distinct())
         new = found.count()
         total += new
-        if new:  # only roots are joined anew
-            of = lambda c, r: checked_broadcast(comp, 48, alias=lambda x: x.select(F.col("node").alias(c), F.col("root").alias(r)))
-            edges = found.join(of("u", "ru"), "u").join(of("v", "rv"), "v").select(F.col("ru").alias("u"), F.col("rv").alias("v"))
-            got = scratch.put(components(edges, scratch).select(F.col("node").alias("root"), F.col("root").alias("up")), "roots")
-            comp = scratch.put(comp.join(checked_broadcast(got, 48), "root", "left").select("node", F.coalesce("up", "root").alias("root")), "comp")
+        if new:
+            comp = merged(comp, found)
         if new <= TAIL * total:
             break
-    rooted = scratch.put(comp.where("node <> root"), "rooted")
+    # the exact step: all pairs left, by bands that still hold two classes; one side of a large band is cut into slices
+    live = posts.join(checked_broadcast(comp, 88), F.col("d1") == F.col("node")).select("band", "d1", "root", *SIGNS)
+    left = live.groupBy("band").agg(F.count(F.lit(1)).alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    left = scratch.put(left.select("band", F.expr(f"cast(c div {SLICE} + 1 as int)").alias("slices")), "left")
+    live = live.join(checked_broadcast(left, 48), "band").select("band", "slices", F.struct("d1", "root", *SIGNS).alias("a"))
+    live = scratch.put(live, "open")
+    one = live.select("band", F.pmod(F.xxhash64("a.d1"), F.col("slices")).cast("int").alias("slice"), "a")
+    other = live.select("band", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.col("a").alias("b"))
+    on = ["band", "slice"]
+    other = other.select(*(F.col(c).alias(f"other_{c}") for c in on), "b")
+    same = F.expr(" and ".join(f"{c} = other_{c}" for c in on) + " and a.d1 > b.d1 and a.root <> b.root and " + may_match("a.", "b."))
+    found = verified(one.join(other, same).select(F.col("a.d1").alias("u"), F.col("b.d1").alias("v")).distinct())
+    if not found.isEmpty():
+        comp = merged(comp, found)
+    rooted = scratch.put(comp.where("node <> root").select("node", "root"), "rooted")
     joined = rows.select("dk", "th", "line", "d1", "d2").join(
         checked_broadcast(rooted, 48, alias=lambda x: x.withColumnRenamed("node", "d1")), "d1", "left"
     )

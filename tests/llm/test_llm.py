@@ -208,6 +208,35 @@ def test_line_dedup_recall(spark):
     assert len(kept) - len(want) <= 0.05 * (len(lines) - len(want))  # and nearly all others go
 
 
+def test_line_dedup_crowded_bands(spark, monkeypatch):
+    """Near copies in bands full of templated lines: with pivots for one round only, all pairs that share a band are still decided."""
+    monkeypatch.setattr(line_dedup, "TAIL", 1.0)
+    monkeypatch.setattr(line_dedup, "SLICE", 20, raising=False)
+    rng = np.random.default_rng(17)
+    word = lambda n: "".join(chr(97 + x) for x in rng.integers(0, 26, n))
+    frame, lines = " ".join(word(6) for _ in range(20)), []
+    for _ in range(120):
+        own = word(28)
+        lines += [f"{frame} {own} {word(2)}", f"{frame} {own} {word(2)}"]
+    raw = np.frombuffer("\n".join(lines).encode(), np.uint8)
+    keys = line_dedup.signatures(*line_dedup.normalise(raw, np.array([0, len(raw)])))
+    s = [line_dedup.shingles(x) for x in lines]
+    root = list(range(len(lines)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(range(len(lines)), 2):
+        if (keys[a] == keys[b]).any() and line_dedup.similar(s[a], s[b]):
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    got = line_dedup.line_dedup(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()
+    assert {r.doc_id for r in got if r.text} == {i for i in range(len(lines)) if find(i) == i}
+    assert 100 <= sum(r.n_dropped for r in got) <= 140
+
+
 def test_line_dedup_odd(spark, odd, empty):
     got = line_dedup.line_dedup(odd).collect()
     assert len(got) == 14 and got[0].__fields__[:2] == ["n_lines", "n_dropped"]
