@@ -9,20 +9,35 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 #: Days from 1600-01-01 to 2399-12-31 (two Gregorian cycles) and their factors, the two halves of a date.
 FIRST_DAY, DAYS_A, DAYS_B = "1600-01-01", 378, 773
+#: Most steps of a walk over days; one in 2.5 goes on.
+WALK = 64
+
+#: Countries by the length of their IBANs.
+LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+    32: "LC", 33: "RU",
+}
+#: Of the countries with a fixed length just that many characters, so that a following word isn't taken along.
+KNOWN = "|".join(
+    f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, c in LENGTHS.items()
+)
 
 #: What is looked for, in the order in which one pattern tries them at each place. No part may start or end inside a word
 #: or number. All repetitions are possessive or bounded, so a text is read in linear time.
 KINDS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}+[A-Za-z]{2,24}+(?![A-Za-z0-9])",
     "secret": r"(?<![A-Za-z0-9])(?=[0-9A-Fa-f]{0,63}[0-9])(?=[0-9]{0,63}[A-Fa-f])[0-9A-Fa-f]{32,64}+(?![A-Za-z0-9])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}+(?: ?[A-Z0-9]{1,3}+)?(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?:{KNOWN})(?![A-Za-z0-9])"
+    r"|(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}+(?: ?[A-Z0-9]{1,3}+)?(?![A-Za-z0-9])",
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9/-]|\.[0-9])",
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
     "phone": r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,4}+(?![0-9])"
     r"|(?<![0-9A-Za-z(])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])"
     r"|(?<![0-9A-Za-z.-])[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9]|[.-][0-9])",
-    "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}+|[0-9]{4}(?:[ -][0-9]{4}){2,3}(?:[ -][0-9]{1,3})?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])",
+    "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}+|[0-9]{4}(?:[ -][0-9]{4}){2,3}(?:[ -][0-9]{1,3}(?![./][0-9]))?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])",
 }
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 
@@ -102,22 +117,42 @@ def _date(m: str, pattern: str, key: str) -> str:
     return _let(f"cast({day} as bigint)", "n", f"if(n between 0 and {DAYS_A * DAYS_B - 1}, {out}, {m})")
 
 
+def _late_date(m: str, key: str) -> str:
+    """SQL: MM/dd/yyyy whose day is no month. The permutation of days is walked on until it gives such a day again, so that what comes out
+    is no other value's dd/MM/yyyy."""
+    step = _two(f"y div {DAYS_B}", f"y % {DAYS_B}", DAYS_A, DAYS_B, key + "date", f"x.l * {DAYS_B} + x.r")
+    day = f"date_add(date'{FIRST_DAY}', cast(%s as int))"
+    walk = f"aggregate(sequence(1, {WALK}), n, (y, j) -> if(j > 1 and day({day % 'y'}) > 12, y, {step}), y -> date_format({day % 'y'}, 'MM/dd/yyyy'))"
+    first = f"cast(datediff(try_to_date({m}, 'MM/dd/yyyy'), date'{FIRST_DAY}') as bigint)"
+    return _let(first, "n", f"if(n between 0 and {DAYS_A * DAYS_B - 1}, {walk}, {m})")
+
+
+def _longest(m: str, valid: str, out: str) -> str:
+    """SQL: the longest part s of m from its start to its end or to a separator that is valid replaced by out; m where there is none."""
+    parts = f"transform(filter(sequence(0, length({m}) - 1), k -> k = 0 or substr({m}, length({m}) - k + 1, 1) rlike '[ .-]'), k -> left({m}, length({m}) - k))"
+    return _let(f"get(filter({parts}, s -> {valid}), 0)", "s", f"if(s is null, {m}, concat({out}, substr({m}, length(s) + 1)))")
+
+
 def pseudonym(m: str, key: str) -> str:
-    """SQL: the pseudonym of one match, or the match itself where it fails validation."""
-    digits = f"regexp_replace({m}, '[^0-9]', '')"
+    """SQL: the pseudonym of one match, or of its longest valid part, or the match itself where nothing in it passes validation."""
+    digits = "regexp_replace(s, '[^0-9]', '')"
     body = f"concat(p, cast((10 - {_luhn("concat(p, '0')")} % 10) % 10 as string))"
     card = _let(permuted("left(d, length(d) - 1)", key + "card"), "p", body)
-    card = _let(digits, "d", f"if({_luhn('d')} % 10 = 0 and length(d) between 13 and 19, {_let(card, 'q', _refill(m, 'q', '0-9'))}, {m})")
+    card = _let(digits, "d", _let(card, "q", _refill("s", "q", "0-9")))
+    card = _longest(m, _let(digits, "d", f"length(d) between 13 and 19 and {_luhn('d')} % 10 = 0"), card)
     octets = "filter(transform(split({m}, '[.]'), o -> cast(o as int)), o -> o <= 255)".replace("{m}", m)
     dotted = "concat_ws('.', x.l div 256, x.l % 256, x.r div 256, x.r % 256)"
     ip = _two("o[0] * 256 + o[1]", "o[2] * 256 + o[3]", 65536, 65536, key + "ip", dotted)
     ip = _let(octets, "o", f"if(size(o) = 4, {ip}, {m})")
     iban = _let(permuted("substr(d, 5)", key + "iban"), "p", f"concat(left(d, 2), lpad(cast(98 - {_check97("concat(left(d, 2), '00', p)")} as string), 2, '0'), p)")
-    iban = _let(f"replace({m}, ' ', '')", "d", f"if(length(d) between 15 and 34 and {_check97('d')} = 1, {_let(iban, 'q', _refill(m, 'q', 'A-Z0-9'))}, {m})")
+    iban = _let("replace(s, ' ', '')", "d", _let(iban, "q", _refill("s", "q", "A-Z0-9")))
+    iban = _longest(m, _let("replace(s, ' ', '')", "d", f"length(d) between 15 and 34 and {_check97('d')} = 1"), iban)
     # a phone keeps its country code; its last ten digits (fewer in short ones) are permuted
-    tail = f"least(10, length(d) - if({m} like '+%', 1, 0))"
-    phone = _let(permuted(f"right(d, {tail})", key + "phone"), "p", f"concat(left(d, length(d) - length(p)), p)")
-    phone = _let(digits, "d", f"if(length(d) between 8 and 15, {_let(phone, 'q', _refill(m, 'q', '0-9'))}, {m})")
+    tail = "least(10, length(d) - if(s like '+%', 1, 0))"
+    phone = _let(permuted(f"right(d, {tail})", key + "phone"), "p", "concat(left(d, length(d) - length(p)), p)")
+    phone = _let(digits, "d", _let(phone, "q", _refill("s", "q", "0-9")))
+    phone = _longest(m, f"length({digits}) between 8 and 15", phone)
+    digits = digits.replace("(s,", f"({m},")
     ssn = f"not ({m} rlike '^(000|666|9)|-00-|-0000$')"
     name = f"substring_index({m}, '@', 1)"
     email = f"concat({permuted(name, key + 'email')}, '@', substring_index({m}, '@', -1))"
@@ -128,6 +163,7 @@ def pseudonym(m: str, key: str) -> str:
         f"when {m} rlike '^[0-9A-Fa-f]{{32,64}}$' then {secret} "
         f"when {m} rlike '^[A-Z]{{2}}[0-9]{{2}}' then {iban} "
         f"when {m} rlike '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$' then {_date(m, 'yyyy-MM-dd', key)} "
+        f"when {m} rlike '^[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}$' and try_to_date({m}, 'dd/MM/yyyy') is null then {_late_date(m, key)} "
         f"when {m} rlike '^[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}$' then {_date(m, 'dd/MM/yyyy', key)} "
         f"when {m} rlike '^[0-9]{{2}}[.][0-9]{{2}}[.][0-9]{{4}}$' then {_date(m, 'dd.MM.yyyy', key)} "
         f"when {m} rlike '^[0-9.]+$' and {m} like '%.%.%.%' then {ip} "
@@ -143,7 +179,8 @@ def pseudonymise(docs: DataFrame, key: str = "key", id_col: str = "doc_id", text
     E-mail names, phone numbers, social security numbers (area, group and serial not zero), payment cards (Luhn), IBANs (modulo 97),
     IPv4 addresses, calendar dates from 1600 to 2399 and long hexadecimal secrets are replaced by a permutation within their format
     under the key, so equal values have equal pseudonyms in all documents and different ones different. Cards keep a valid check
-    digit, IBANs their country and valid check digits, phones their country code, dates are dates. What fails validation stays.
+    digit, IBANs their country and valid check digits, phones their country code, dates are dates. Slashed dates are dd/MM/yyyy, or
+    MM/dd/yyyy where that fails. Of cards, IBANs and phones the longest valid part up to a separator counts. What fails validation stays.
 
     Whole texts, one pass, no shuffle. Null texts stay null with 0 found; empty texts, repeated rows and empty tables come back as they
     are. The key is 1 to 64 letters and digits.

@@ -355,6 +355,28 @@ def test_pii(spark, odd, empty):
     assert [r.text for r in pii.pseudonymise(odd).collect()] == [r[1] for r in odd_rows()] and pii.pseudonymise(empty).count() == 0
 
 
+def test_pii_parts(spark):
+    """Valid numbers before further groups or words, and dates with the month first."""
+    card, iban = "4111 1111 1111 1111", "ES9121000418450200051332"
+    texts = [f"{card} 12/25", f"{card} 123", f"{card} 12 25", f"{iban} USD", "ES91 2100 0418 4502 0005 1332 PAID", f"{iban} {card}", "XX82 1234 5678 9012 3456 PAID", "12/25/2020", "13/13/2020", "+49 30 1234 5678 9999 9999"]
+    valid = next(f"XX{k:02d} 1234 5678 9012 3456" for k in range(2, 99) if int(f"12345678901234563333{k:02d}") % 97 == 1)
+    texts[6] = f"{valid} PAID"
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = pii.pseudonymise(df).orderBy("doc_id").collect()
+    assert [r.n_found for r in got] == [1, 1, 1, 1, 1, 2, 1, 1, 0, 1]
+    for r, tail in zip(got[:3], (" 12/25", " 123", " 12 25")):
+        assert r.text.endswith(tail) and card not in r.text and luhn(r.text[:19].replace(" ", ""))
+    for k, tail in ((3, " USD"), (4, " PAID"), (5, "")):
+        x = got[k].text.replace(" ", "")[:24]
+        assert got[k].text.endswith(tail) and x != iban and int(x[4:] + "1428" + x[2:4]) % 97 == 1
+    assert got[6].text.endswith(" PAID") and valid not in got[6].text and got[9].text.endswith(" 9999 9999") and got[9].text != texts[9]
+    month, day, year = map(int, got[7].text.split("/"))
+    assert 1 <= month <= 12 < day <= 31 and got[7].text != texts[7]
+    late = spark.range(0, 292194, 11).select(F.expr("date_add(date'1600-01-01', cast(id as int))").alias("d")).where("day(d) > 12")
+    late = late.select(F.expr("date_format(d, 'MM/dd/yyyy')").alias("m")).select(F.expr(pii._late_date("m", "k")).alias("o"))
+    assert late.distinct().count() == late.count() and late.where("cast(substr(o, 4, 2) as int) <= 12").isEmpty()
+
+
 def test_pii_permutes(spark):
     """All values of a small format map to each other."""
     df = spark.range(1000).select(F.format_string("%03d", "id").alias("v"))
