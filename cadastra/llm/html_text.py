@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 import sys
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,11 +44,15 @@ IMPLIED = {
     "tfoot": (_set("td th tr thead tbody tfoot caption colgroup"), _set("table")),
 }
 BARRIER = _set("td th caption button object table")
-#: Elements nested deeper become siblings at this depth.
+#: Elements nested deeper become siblings at this depth; they know the element above them, which may hide them.
 DEEPEST = 200
 
-TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?>[^>"']|"[^"]*"|'[^']*')*+)>""")
-ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+#: Attributes as the HTML tokenizer reads them: a quote opens a value only right after =, elsewhere it is a character like others.
+ATTRIBUTE = re.compile(
+    r"""([^ \t\n\r\f/>][^ \t\n\r\f/>=]*+)(?:[ \t\n\r\f]*+=[ \t\n\r\f]*+(?:"([^"]*+)"|'([^']*+)'|([^ \t\n\r\f"'>][^ \t\n\r\f>]*+)|(?=>|\Z))|(?![ \t\n\r\f]*+=))"""
+)
+TAG = re.compile(rf"""<(/?)([a-zA-Z][^ \t\n\r\f/>]*+)((?:[ \t\n\r\f/]++|{re.sub(r"\((?=\[)", "(?:", ATTRIBUTE.pattern)})*+)>""")
+COMMENT = re.compile(r"<!--(?:-?>|.*?--!?>)", re.S)
 HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 NONE, HIDDEN, VISIBLE = (re.compile(x, re.I) for x in (r"display\s*:\s*none", r"visibility\s*:\s*(?:hidden|collapse)", r"visibility\s*:\s*visible"))
 RULE = re.compile(r"([^{}]*)\{([^{}]*)\}")
@@ -56,36 +61,69 @@ WHITE = " \t\n\r\f"
 
 
 class Node:
-    __slots__ = ("attributes", "children", "name")
+    __slots__ = ("above", "attributes", "children", "name", "state")
+
+    def __init__(self, name: str, attributes: dict[str, str], above: Node | None = None):
+        self.name, self.attributes, self.children, self.above, self.state = name, attributes, [], above, None
+
+
+class Stack(list):
+    """Open elements, and how many of them have each name."""
 
-    def __init__(self, name: str, attributes: dict[str, str]):
-        self.name, self.attributes, self.children = name, attributes, []
+    def __init__(self, root: Node):
+        super().__init__([root])
+        self.count = Counter([root.name])
+
+    def push(self, node: Node) -> None:
+        self.append(node)
+        self.count[node.name] += 1
+
+    def cut(self, k: int) -> None:
+        for n in self[k:]:
+            self.count[n.name] -= 1
+        del self[k:]
+
+    def add(self, x: str | Node) -> None:
+        """Puts a child into the open element; beyond DEEPEST beside it, text after other elements in a piece of its own."""
+        if len(self) <= DEEPEST:
+            self[-1].children.append(x)
+            return
+        into, top = self[DEEPEST - 1].children, self[-1]
+        if isinstance(x, Node):
+            x.above = top
+            into.append(x)
+        elif into and into[-1] is top:
+            top.children.append(x)
+        else:
+            if not (into and isinstance(into[-1], Node) and into[-1].name == "" and into[-1].above is top):
+                into.append(Node("", {}, top))
+            into[-1].children.append(x)
 
 
 def parse(source: str) -> tuple[Node, list[tuple[str, str, str]]]:
     """Tree of a page, and its style sheets' simple selectors (tag, . or # name, declarations) that hide something."""
     root = Node("html", {})
-    stack, css, at, end = [root], [], 0, len(source)
+    stack, css, at, end = Stack(root), [], 0, len(source)
     while at < end:
         lt = source.find("<", at)
         if lt < 0:
             lt = end
         if lt > at:
-            stack[-1].children.append(html.unescape(source[at:lt]))
+            stack.add(html.unescape(source[at:lt]))
         if lt == end:
             break
         at = lt
         nxt = source[lt + 1 : lt + 2]
         if source.startswith("<!--", lt):
-            stop = source.find("-->", lt + 4)
-            at = end if stop < 0 else stop + 3
+            m = COMMENT.match(source, lt)
+            at = m.end() if m else end
             continue
-        if nxt in ("!", "?") or nxt == "/" and not source[lt + 2 : lt + 3].isalpha():
+        if nxt in ("!", "?") or nxt == "/" and not ((c := source[lt + 2 : lt + 3]).isascii() and c.isalpha()):
             stop = source.find(">", lt)
             at = end if stop < 0 else stop + 1
             continue
         if not (nxt.isascii() and nxt.isalpha() or nxt == "/"):
-            stack[-1].children.append("<")
+            stack.add("<")
             at = lt + 1
             continue
         m = TAG.match(source, lt)
@@ -99,11 +137,11 @@ def parse(source: str) -> tuple[Node, list[tuple[str, str, str]]]:
         for a in ATTRIBUTE.finditer(m[3]):
             attributes.setdefault(a[1].lower(), html.unescape(next((v for v in a.groups()[1:] if v is not None), "")))
         _imply(stack, name)
-        if name in ("html", "body") and any(n.name == name for n in stack):
+        if name in ("html", "body") and stack.count[name]:
             stack[-1 if name == "body" else 0].attributes.update(attributes)
             continue
         node = Node(name, attributes)
-        stack[-1].children.append(node)
+        stack.add(node)
         if name in VOID:
             continue
         if name in RAW:
@@ -113,15 +151,16 @@ def parse(source: str) -> tuple[Node, list[tuple[str, str, str]]]:
             if name == "style":
                 css += _hiding(body)
             node.children.append(html.unescape(body) if name == "textarea" else body)
-        if len(stack) < DEEPEST:
-            stack.append(node)
+        stack.push(node)
     return root, css
 
 
-def _close(stack: list[Node], name: str) -> None:
+def _close(stack: Stack, name: str) -> None:
+    if not stack.count[name]:
+        return
     for k in range(len(stack) - 1, 0, -1):
         if stack[k].name == name:
-            del stack[k:]
+            stack.cut(k)
             return
         if stack[k].name in BARRIER and name not in ("table", "tr", "tbody", "thead", "tfoot", "td", "th", "body", "html"):
             return
@@ -129,30 +168,30 @@ def _close(stack: list[Node], name: str) -> None:
             return
 
 
-def _imply(stack: list[Node], name: str) -> None:
-    if name in IMPLIED:
+def _imply(stack: Stack, name: str) -> None:
+    if name in IMPLIED and any(stack.count[n] for n in IMPLIED[name][0]):
         closes, stops = IMPLIED[name]
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].name in stops:
                 break
             if stack[k].name in closes:
-                del stack[k:]
+                stack.cut(k)
                 if name in ("li", "dt", "dd"):
                     break
                 _imply(stack, name)
                 break
-    if name in CLOSES_P:
+    if name in CLOSES_P and stack.count["p"]:
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].name in BARRIER:
                 break
             if stack[k].name == "p":
-                del stack[k:]
+                stack.cut(k)
                 break
     if name == "body" or name not in ("head", "html", "title", "meta", "link", "script", "style", "base", "template", "noscript"):
         if stack[-1].name == "head":
-            stack.pop()
+            stack.cut(len(stack) - 1)
     if name in HEADINGS and stack[-1].name in HEADINGS:
-        stack.pop()
+        stack.cut(len(stack) - 1)
 
 
 def _hiding(css: str) -> list[tuple[str, str, str]]:
@@ -235,7 +274,25 @@ class Renderer:
                 out.append(text)
         return ";".join([*out, node.attributes.get("style", "")])
 
+    def inherited(self, node: Node | None) -> tuple[bool, bool | None]:
+        """Whether an element beyond DEEPEST or one of those above it there is gone or shut, and its visibility if they set it."""
+        todo = []
+        while node is not None and node.state is None:
+            todo.append(node)
+            node = node.above
+        state = node.state if node is not None else (False, None)
+        for x in reversed(todo):
+            style = self.style(x)
+            seen = True if VISIBLE.search(style) else False if HIDDEN.search(style) else state[1]
+            up = x.above
+            shut = up is not None and "open" not in up.attributes and (up.name == "dialog" or up.name == "details" and x.name != "summary")
+            state = x.state = (state[0] or shut or self.hidden(x), seen)
+        return state
+
     def gone(self, node: Node) -> bool:
+        return self.hidden(node) or node.above is not None and self.inherited(node)[0]
+
+    def hidden(self, node: Node) -> bool:
         return node.name in NEVER or "hidden" in node.attributes or bool(NONE.search(self.style(node)))
 
     def lines(self, nodes: list, seen: bool, pre: bool = False) -> list[str]:
@@ -262,6 +319,8 @@ class Renderer:
 
     def element(self, x: Node, page: Page, seen: bool, pre: bool) -> None:
         name, style = x.name, self.style(x)
+        if x.above is not None and (above := self.inherited(x)[1]) is not None:
+            seen = above
         if style:
             seen = VISIBLE.search(style) is not None or seen and not HIDDEN.search(style)
         if name == "br":
@@ -343,6 +402,16 @@ class Renderer:
                 page.block(lines, "  " if nested else "", "  " if nested else "")
         return page.done()
 
+    def stray(self, x: Node) -> list[str]:
+        """Text directly in rows and groups of rows, which stands before the table."""
+        out = []
+        for c in x.children:
+            if isinstance(c, str):
+                out += [c] if c.strip(WHITE) else []
+            elif x.name != "tr" and c.name == "tr" and not self.gone(c):
+                out += self.stray(c)
+        return out
+
     def table(self, x: Node, seen: bool) -> list[str]:
         out, rows = [], []
         loose: list = []
@@ -351,6 +420,8 @@ class Renderer:
                 loose += [c] if c.strip(WHITE) else []
             elif self.gone(c) or c.name in ("colgroup", "col"):
                 continue
+            elif c.name in ("tr", "thead", "tbody", "tfoot"):
+                loose += self.stray(c)
             elif c.name == "caption" or c.name not in ("tr", "td", "th", "thead", "tbody", "tfoot"):
                 loose.append(c)
         out += self.lines(loose, seen)

@@ -309,6 +309,29 @@ def test_html(page, text):
     assert html_text.render(page) == text
 
 
+DEEP = "<div>" * 300
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<p title=don't>rest of page</p><p>more</p>", "rest of page\n\nmore"),
+        ("""<a href="x"">text</a><b class="y">z</b>""", "textz"),
+        ("""<i a"b>one</i> <i c"d>two</i>""", "one two"),
+        ("<i title='a>b' hidden>no</i><i x= '>' =z>yes</i>", "yes"),
+        ("a</é>b<!-->c<!-- x --!>d", "abcd"),
+        ("<table><tbody>in body<tr>in row<td>cell</table>", "in bodyin row\ncell"),
+        ("<div>" * 300 + "a<b hidden>no<u>no</u></b>b" + "</div>" * 300 + "<p>after", "a\nb\n\nafter"),
+        (DEEP + "<b style='visibility:hidden'>no<u>no</u><s style='visibility:visible'>yes</s></b>", "yes"),
+        ("<section hidden>" + DEEP + "<section>x</section>no</section><p>yes", "yes"),
+        (DEEP + "a <b>b <i>c</i> d</b> e", "a\nb c d e"),
+        (DEEP + "<details>no<summary>yes<b>!</b></summary><p>no</details>z", "yes\n!z"),
+    ],
+)
+def test_html_tokenizer(page, text):
+    assert html_text.render(page) == text
+
+
 def test_html_odd(spark, sf):
     deep = "<div>" * 4000 + "x" + "</div>" * 4000
     df = spark.createDataFrame([(1, None, "u"), (2, "", "u"), (2, "", "u"), (3, deep, "u"), (None, "<p>" * 5000 + "y", "u"), (4, "<" * 20000, "u")], "page_id long, html string, text string")
