@@ -125,6 +125,29 @@ def test_url_equivalence(spark):
     assert url_filter.url_filter(df.limit(0), url_filter.rules_table(spark, url_filter.RULES)).count() == 0
 
 
+def test_url_links(spark):
+    """Every link of a page, quoted refresh URLs, and targets relative to the page's path."""
+    cases = [
+        ("http://a.net/d/e/f", '<link rel=canonical href="http://x.net/1"><link rel=canonical href=http://x.net/2>', {"http://x.net/1", "http://x.net/2"}),
+        ("http://a.net/d/e/f", """<meta http-equiv="refresh" content="0;url='http://x.net/q'">""", {"http://x.net/q"}),
+        ("http://a.net/d/e/f", """<meta http-equiv=refresh content='0; URL="http://x.net/q;v"'><meta http-equiv=refresh content=5;url=/r>""", {"http://x.net/q;v", "http://a.net/r"}),
+        ("http://A.net/d/e/f?x=/y/", '<link rel=canonical href="page2.html">', {"http://a.net/d/e/page2.html"}),
+        ("http://a.net/d/e/f", "<link rel=canonical href='../x'><link rel=canonical href='../../../y/./z/..'>", {"http://a.net/d/x", "http://a.net/y/"}),
+        ("http://a.net/d/e/f", "<link rel=canonical href='?p=1'><link rel=canonical href='mailto:me'>", {"http://a.net/d/e/f"}),
+        ("http://a.net", "<link rel=canonical href=g?next=http://x.net/>", {"http://a.net/g"}),
+        ("http://a.net/d/e/f", "<link rel=canonical href='//x.net/z'>", {"http://x.net/z"}),
+    ]
+    df = spark.createDataFrame([(f"{u}#{i}", h) for i, (u, h, _) in enumerate(cases)], "url string, html string")
+    got = {}
+    for r in url_filter.page_links(df).collect():
+        got.setdefault(int(r.url.split("#")[1]), set()).add(r.target)
+    assert got == {i: t for i, (_, _, t) in enumerate(cases)}
+    pages = [(1, "http://bad.com/en/x", ""), (2, "http://bad.com/en/y", "<link rel=canonical href='../fr/2'>"), (3, "http://bad.com/fr/2", "")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in url_filter.url_filter(df, url_filter.rules_table(spark, url_filter.RULES)).collect()}
+    assert got == {1: "block", 2: "block", 3: "block"}
+
+
 # -- 7 n-gram join
 
 
