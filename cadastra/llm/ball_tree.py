@@ -116,15 +116,16 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64) ->
     query a k-th score; the others start from it as a floor, which prunes most of their trees. Floors only drop what can't be among
     the k best, so results are exact.
 
-    Vectors that are null or hold null, NaN or infinite components take no part, nor do rows without an id. Of rows that share an id
-    the smallest vector counts. Only vectors of equal length meet. An empty table gives an empty result.
+    Vectors that are null or hold null, NaN or infinite components take no part, nor do rows without an id. Rows that share an
+    id are each candidates for other ids' queries if their scaled vectors differ, and count once if these are equal; a query id with
+    several vectors gets the best over all of them. Only vectors of equal length meet. An empty table gives an empty result.
     """
     scratch = Scratch(vectors.sparkSession, "top_k")
     x = F.col("embedding")
     bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c.cast("double")) == F.lit(float("inf"))))
     scaled = F.transform(x, lambda c: F.floor(F.lit(float(scale)) * c.cast("double")).cast("long"))
     rows = vectors.where(F.col("vec_id").isNotNull() & x.isNotNull() & ~bad).select(F.col("vec_id").cast("long").alias("vec_id"), scaled.alias("v"))
-    rows = scratch.put(rows.groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v")), "rows")
+    rows = scratch.put(rows.distinct().withColumn("dim", F.size("v")), "rows")
     n = rows.count()
     shards, blocks = -(-n // SHARD), max(1, -(-n // (BLOCK * every)))
     if not n:

@@ -309,6 +309,18 @@ def test_top_k_shards(spark, monkeypatch):
     assert ball_tree.top_k(df.limit(0)).count() == 0
 
 
+def test_top_k_shared_ids(spark, monkeypatch):
+    """Rows that share an id but not a vector are all candidates."""
+    monkeypatch.setattr(ball_tree, "SHARD", 30)
+    rows = [(i, [float(i % 7), 1.0]) for i in range(1, 100)] + [(i, [float(i % 5 + 7), 2.0]) for i in range(1, 100, 3)] + [(20, [-3.0, 0.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    want = []
+    for q in range(20, 100, 20):
+        s = sorted((-sum(int(64 * a) * int(64 * b) for a, b in zip(x, y)), c) for i, x in rows if i == q for c, y in rows if c != q)[:20]
+        want += [(q, k + 1, c, -x) for k, (x, c) in enumerate(s)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in ball_tree.top_k(df).collect()) == want
+
+
 # -- 8 HTML
 
 
