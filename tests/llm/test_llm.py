@@ -238,9 +238,8 @@ def test_line_dedup_crowded_bands(spark, monkeypatch):
     rng = np.random.default_rng(17)
     word = lambda n: "".join(chr(97 + x) for x in rng.integers(0, 26, n))
     frame, lines = " ".join(word(6) for _ in range(20)), []
-    for _ in range(120):
-        own = word(28)
-        lines += [f"{frame} {own} {word(2)}", f"{frame} {own} {word(2)}"]
+    for _ in range(240):  # only the template is shared: near copies are the lines with little of their own
+        lines.append(f"{frame} {word(int(rng.integers(3, 40)))}")
     raw = np.frombuffer("\n".join(lines).encode(), np.uint8)
     keys = line_dedup.signatures(*line_dedup.normalise(raw, np.array([0, len(raw)])))
     s = [line_dedup.shingles(x) for x in lines]
@@ -257,7 +256,7 @@ def test_line_dedup_crowded_bands(spark, monkeypatch):
             root[max(x, y)] = min(x, y)
     got = line_dedup.line_dedup(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()
     assert {r.doc_id for r in got if r.text} == {i for i in range(len(lines)) if find(i) == i}
-    assert 100 <= sum(r.n_dropped for r in got) <= 140
+    assert sum(r.n_dropped for r in got) > 10
 
 
 def test_line_dedup_odd(spark, odd, empty):
