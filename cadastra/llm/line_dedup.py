@@ -10,16 +10,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel
-from .shared import Scratch, checked_broadcast, components, small_batches
+from .shared import BROADCAST_BYTES, Scratch, checked_broadcast, small_batches, united
 
 #: Bytes in a shingle, bands, rows in a band. A pair of Jaccard 0.8 shares a band with probability 1 - (1 - 0.8^4)^8 = 0.985, one
 #: of 0.85 with 0.997, one of 0.5 with 0.40 (and is then rejected).
 Q, BANDS, ROWS = 8, 8, 4
 SIMILARITY = 0.8
-#: Rounds of pivots end when one adds no more than this share of all links found; the exact step takes what is left.
-TAIL = 0.001
-#: Longs of a line's parity map, and lines of one band that one task meets with the others of it.
-MAPS, SLICE = 4, 2000
+#: Longs of a line's parity map; most lines and bytes of a band that one task looks at together.
+MAPS, SLICE, SLICE_BYTES = 4, 1000, 8 << 20
+#: Rounds of pivots over the bands above SLICE lines end when one finds fewer links than this share of the lines it looked at; this
+#: decides only who finds the links that are left, not whether: the exact step tries all pairs that remain.
+STARS = 0.05
+#: Lines of a band up to which all its pairs are listed at once.
+LISTED = 48
 U = np.uint64
 FULL = U(0xFFFFFFFFFFFFFFFF)
 SQUEEZE = kernel.LOWER.copy()
@@ -109,37 +112,51 @@ def _line_batches(batches):
                     pa.array(number.astype(np.int32)),
                     pa.array(digest[:, 0]),
                     pa.array(digest[:, 1]),
+                    pa.array((ends - starts).astype(np.int32)),
                     pa.ListArray.from_arrays(np.arange(0, keys.size + 1, BANDS, dtype=np.int32), pa.array(keys.ravel())),
                 ],
-                ["dk", "th", "line", "d1", "d2", "bands"],
+                ["dk", "th", "line", "d1", "d2", "size", "bands"],
             )
 
 
 def _candidate_texts(batches):
-    """From rows (text, lines, nodes) the normalised text of each of these lines, its number of shingles and their parity map."""
+    """From rows (dk, th, text, lines) the normalised text of each of these lines (line, node, slices), its bands, its number of shingles
+    and their parity map. A document that a task has met already is left out."""
+    met = set()
     for batch in batches:
-        nodes, texts, size, maps = [], [], [], []
-        for text, number, node in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+        ids = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+        fresh = []
+        for x in ids:
+            fresh.append(x not in met)
+            met.add(x)
+        batch = batch.filter(pa.array(fresh, pa.bool_()))
+        flat = batch.column(3).flatten()
+        texts, size, maps, keys = [], [], [], []
+        numbers, at = flat.field("line").to_numpy(), 0
+        for text, many in zip(batch.column(2).to_pylist(), batch.column(3).value_lengths().to_pylist()):
             raw = np.frombuffer(text.encode(), np.uint8)
-            buf, starts, ends = normalise(raw, np.array([0, len(raw)]))
+            buf, first, last = normalise(raw, np.array([0, len(raw)]))
+            chosen = numbers[at : at + many]
+            at += many
+            keys.append(signatures(buf, first[chosen], last[chosen]))
             whole = buf.tobytes()
-            nodes += node
-            for k in number:
-                t = whole[starts[k] : ends[k]].decode()
-                s = shingles(t)
-                texts.append(t)
+            for a, b in zip(first[chosen].tolist(), last[chosen].tolist()):
+                s = shingles(whole[a:b])
+                texts.append(whole[a:b].decode())
                 size.append(len(s))
                 maps.append(parity(s))
         maps = np.array(maps, np.int64).reshape(-1, MAPS)
+        keys = np.concatenate(keys).view(np.int64).ravel() if keys else np.zeros(0, np.int64)
+        bands = pa.ListArray.from_arrays(np.arange(0, len(keys) + 1, BANDS, dtype=np.int32), pa.array(keys))
         yield pa.record_batch(
-            [pa.array(nodes, pa.int64()), pa.array(texts, pa.string()), pa.array(size, pa.int32()), *(pa.array(maps[:, i]) for i in range(MAPS))],
-            ["node", "t", *SIGNS],
+            [flat.field("node"), pa.array(texts, pa.string()), pa.array(size, pa.int32()), *(pa.array(maps[:, i]) for i in range(MAPS)), bands, flat.field("slices")],
+            ["node", "t", *SIGNS, "bands", "slices"],
         )
 
 
-def shingles(text: str) -> np.ndarray:
+def shingles(text: str | bytes) -> np.ndarray:
     """Sorted distinct shingles of a normalised line of Q bytes or more, as numbers; none of shorter ones, which only equal lines match."""
-    raw = text.encode()
+    raw = text.encode() if isinstance(text, str) else text
     if len(raw) < Q:
         return np.zeros(0, U)
     return np.unique(np.ndarray((len(raw) - Q + 1,), "<u8", raw, strides=(1,)))
@@ -184,6 +201,90 @@ def _verified(batches):
         yield batch.filter(pa.array(ok, pa.bool_())).select([0, 1])
 
 
+class _Met:
+    """Lines that meet in bands, as arrays: those of one (band, slice) stand together."""
+
+    def __init__(self, table: pa.Table):
+        get = lambda c: table.column(c).to_numpy()
+        self.band, self.node, self.n = get("band"), get("node"), get("n").astype(np.int64)
+        self.maps = np.stack([get(f"m{i}") for i in range(MAPS)], axis=1)
+        self.bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        self.text, self.known = table.column("t"), {}
+        slices = get("slice")
+        self.starts = np.flatnonzero(np.r_[True, (self.band[1:] != self.band[:-1]) | (slices[1:] != slices[:-1])])
+        self.sizes = np.diff(np.r_[self.starts, len(self.band)])
+
+    def may(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether two lines may match and meet in this band first."""
+        low, high = np.minimum(self.n[i], self.n[j]), np.maximum(self.n[i], self.n[j])
+        apart = np.bitwise_count((self.maps[i] ^ self.maps[j]).view(U)).sum(1, dtype=np.int64)
+        ok = (low > 0) & (low + 1e-6 >= SIMILARITY * high) & (apart * (1 + SIMILARITY) <= (low + high) * (1 - SIMILARITY) + 1e-3)
+        at = np.flatnonzero(ok)
+        i, j = np.broadcast_to(i, ok.shape)[at], j[at]
+        same = self.bands[i] == self.bands[j]
+        ok[at] = self.bands[i, same.argmax(1)] == self.band[j]
+        return ok
+
+    def similar(self, i: int, j: int) -> bool:
+        for k in (i, j):
+            if k not in self.known:
+                self.known[k] = shingles(self.text[k].as_py())
+        return similar(self.known[i], self.known[j])
+
+    def links(self) -> tuple[list[int], list[int]]:
+        us, vs = [], []
+        for size in np.unique(self.sizes[(self.sizes > 1) & (self.sizes <= LISTED)]).tolist():
+            a, b = np.triu_indices(size, 1)
+            starts = self.starts[self.sizes == size]
+            i, j = (starts[:, None] + a).ravel(), (starts[:, None] + b).ravel()
+            at = np.flatnonzero(self.may(i, j))
+            root: dict[int, int] = {}
+            for x, y in zip(i[at].tolist(), j[at].tolist()):
+                p, q = x, y
+                while p in root:
+                    p = root[p]
+                while q in root:
+                    q = root[q]
+                if p != q and self.similar(x, y):
+                    root[max(p, q)] = min(p, q)
+                    us.append(x)
+                    vs.append(y)
+        for start, size in zip(self.starts[self.sizes > LISTED].tolist(), self.sizes[self.sizes > LISTED].tolist()):
+            self.known.clear()
+            comp = np.arange(start, start + size)
+            for x in range(start, start + size - 1):
+                rest = np.arange(x + 1, start + size)
+                rest = rest[comp[rest - start] != comp[x - start]]
+                for y in rest[self.may(np.array([x]), rest)].tolist() if len(rest) else ():
+                    if comp[y - start] != comp[x - start] and self.similar(x, y):
+                        comp[comp == comp[y - start]] = comp[x - start]
+                        us.append(x)
+                        vs.append(y)
+        return us, vs
+
+
+def _met(batches):
+    """Links among the lines of each (band, slice), from rows sorted by it; as many as it takes to join them."""
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        band, part = table.column("band").to_numpy(), table.column("slice").to_numpy()
+        cut = np.flatnonzero((band[1:] != band[:-1]) | (part[1:] != part[:-1]))
+        cut = int(cut[-1]) + 1 if len(cut) else 0
+        held = table.slice(cut)
+        if cut:
+            yield _linked(table.slice(0, cut))
+    if held is not None and held.num_rows:
+        yield _linked(held)
+
+
+def _linked(table: pa.Table) -> pa.RecordBatch:
+    met = _Met(table)
+    u, v = met.links()
+    return pa.record_batch([pa.array(met.node[u] if u else np.zeros(0, np.int64)), pa.array(met.node[v] if v else np.zeros(0, np.int64))], ["u", "v"])
+
+
 def _rebuilt(batches):
     """From rows (..., text, dropped) the text without the dropped lines."""
     for batch in batches:
@@ -199,21 +300,71 @@ def _rebuilt(batches):
         )
 
 
+def _crowded(texts: DataFrame, comp: DataFrame, scratch: Scratch) -> DataFrame:
+    """node, root with the links between lines in different slices of a band joined in."""
+    texts = scratch.put(texts.where(F.exists("slices", lambda x: x > 1)), "crowded")
+    first = texts.select("node", *SIGNS, F.explode(F.arrays_zip("bands", "slices")).alias("p")).where("p.slices > 1")
+    first = scratch.put(first.select(F.col("p.bands").alias("band"), F.col("p.slices").alias("slices"), "node", *SIGNS), "posts")
+
+    def rooted(comp: DataFrame) -> DataFrame:
+        of = checked_broadcast(comp, 48, alias=lambda x: x.withColumnRenamed("node", "id"))
+        return first.join(of, F.col("node") == F.col("id"), "left").withColumn("root", F.coalesce("root", "node")).drop("id")
+
+    def joined(pairs: DataFrame) -> DataFrame:
+        a, b = texts.select(F.col("node").alias("u"), F.col("t").alias("tu")), texts.select(F.col("node").alias("v"), F.col("t").alias("tv"))
+        pairs = pairs.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct()
+        return scratch.put(pairs.join(a, "u").join(b, "v").select("u", "v", "tu", "tv").mapInArrow(_verified, "u long, v long"), "links")
+
+    again = 0
+    while True:
+        again += 1
+        live = scratch.put(rooted(comp), "live")
+        mixed = live.groupBy("band").agg(
+            F.min(F.struct(F.xxhash64("node", F.lit(again)).alias("o"), F.struct("node", "root", *SIGNS).alias("p"))).alias("a"),
+            F.max(F.struct(F.xxhash64("node", F.lit(again)).alias("o"), F.struct("node", "root", *SIGNS).alias("p"))).alias("b"),
+            F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("c"),
+        ).where("lo <> hi")
+        mixed = scratch.put(mixed.select("band", F.array("a.p", "b.p").alias("pivots"), "c"), "mixed")
+        most = mixed.agg(F.sum("c")).first()[0]
+        if not most:
+            return comp
+        star = live.join(checked_broadcast(mixed, 200), "band").select("node", "root", *SIGNS, F.explode("pivots").alias("p"))
+        found = joined(star.where("root <> p.root and " + may_match("", "p.")).select(F.col("node").alias("x"), F.col("p.node").alias("y")))
+        new = found.count()
+        if new:
+            comp = united(comp.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(found), scratch)
+        if new <= STARS * most:
+            break
+    live = rooted(comp)
+    mixed = scratch.put(live.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band"), "left")
+    live = live.join(checked_broadcast(mixed, 48), "band", "left_semi").select("band", "slices", F.struct("node", "root", *SIGNS).alias("a"))
+    live = scratch.put(live, "open")
+    one = live.select("band", F.pmod(F.xxhash64("a.node", "band"), F.col("slices")).cast("int").alias("slice"), "a")
+    other = live.select(
+        F.col("band").alias("other_band"), F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("other_slice"),
+        F.pmod(F.xxhash64("a.node", "band"), F.col("slices")).cast("int").alias("own_slice"), F.col("a").alias("b"),
+    )
+    same = "band = other_band and slice = other_slice and slice < own_slice and a.root <> b.root and " + may_match("a.", "b.")
+    found = joined(one.join(other.where("other_slice < own_slice"), F.expr(same)).select(F.col("a.node").alias("x"), F.col("b.node").alias("y")))
+    return united(comp.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(found), scratch)
+
+
 def line_dedup(docs: DataFrame) -> DataFrame:
     """All rows and columns of docs(doc_id, text, ...), each text without the lines that another kept line repeats, and two columns
     n_lines (lines before) and n_dropped in front: exactly one line of each class of near-equal lines stays in the whole corpus.
 
-    Lines are compared lower-cased (A-Z), trimmed and with single spaces. Equal ones are joined by their 128-bit digest; of the
-    distinct ones, those that share one of BANDS bands are candidates. Within a band a line first meets only two pivots, drawn anew
-    each round: verified pairs (exact Jaccard of the shingle sets) go to the distributed union-find, and rounds go on among the classes
-    that still share a band until they find next to nothing (TAIL). Then all pairs that share a band and still are in different classes
-    are tried, large bands in slices; parity maps rule out most before their texts are read. So every pair that shares a band is
-    decided, and only banding may leave a pair of similar lines apart; tests measure how few. The line of the smallest (doc_id, line
-    number) stays.
+    Lines are compared lower-cased (A-Z), trimmed and with single spaces. Equal ones are joined by a 128-bit digest, both halves of
+    which are the key. Of the distinct lines, those that share one of BANDS bands meet in it, in slices of at most SLICE lines and
+    SLICE_BYTES: a pair is decided in the first band that both have, by sizes, parity maps and then the exact Jaccard similarity of the
+    shingle sets, unless its lines already are in one class. The links found go to a distributed union-find. Bands of several slices
+    go on: their lines first meet two pivots a round, drawn anew, while this finds many links; then all pairs that still are in
+    different classes are tried. So every pair that shares a band is decided, and only banding may leave a pair of similar lines
+    apart; tests measure how few. The line of the smallest (doc_id, line number) stays.
 
     Blank lines are no candidates and stay. Null texts come back null with no lines, empty ones unchanged; null doc_ids order last.
-    Rows repeated with equal doc_id and text count as one document: they come back equal. A document may lose all of its lines; its
-    row stays. Empty tables give empty results; other columns pass through, but for n_lines and n_dropped, which are replaced.
+    Rows repeated with equal doc_id and text are one document: they come back equal, each with the lines that this document keeps. A
+    document may lose all of its lines; its row stays. Empty tables give empty results; other columns pass through, but for n_lines
+    and n_dropped, which are replaced.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -222,72 +373,44 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     others = [c for c in docs.columns if c != "text"]
     ident = [F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("dk"), F.xxhash64("text").alias("th")]
     src = docs.select(*ident, F.col("text").cast("string").alias("text")).where("text is not null and text <> ''")
-    schema = "dk long, th long, line int, d1 long, d2 long, bands array<long>"
-    rows = scratch.put(src.mapInArrow(_line_batches, schema), "lines")
-    posts = rows.select(F.explode("bands").alias("band"), "d1")
-    shared = scratch.put(posts.groupBy("band").agg(F.min("d1").alias("lo"), F.max("d1").alias("hi")).where("lo <> hi").select("band"), "bands")
-    posts = scratch.put(posts.join(checked_broadcast(shared, 48), "band", "left_semi").distinct(), "posts")
-    nodes = scratch.put(posts.select(F.col("d1").alias("node")).distinct(), "nodes")
-    found = rows.join(checked_broadcast(nodes, 40), F.col("d1") == F.col("node"), "left_semi")
-    where = found.groupBy("d1").agg(F.min(F.struct("dk", "th", "line")).alias("m"))
-    where = scratch.put(
-        where.groupBy("m.dk", "m.th").agg(F.collect_list("m.line").alias("lines"), F.collect_list("d1").alias("nodes")), "where"
-    )
-    texts = src.join(checked_broadcast(where, 160), ["dk", "th"])
-    schema = "node long, t string, n int, " + ", ".join(f"m{i} long" for i in range(MAPS))
-    texts = scratch.put(texts.select("text", "lines", "nodes").mapInArrow(_candidate_texts, schema).dropDuplicates(["node"]), "texts")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        a, b = texts.select(F.col("node").alias("u"), F.col("t").alias("tu")), texts.select(F.col("node").alias("v"), F.col("t").alias("tv"))
-        return scratch.put(pairs.join(a, "u").join(b, "v").select("u", "v", "tu", "tv").mapInArrow(_verified, "u long, v long"), "links")
-
-    def merged(comp: DataFrame, found: DataFrame) -> DataFrame:  # only roots are joined anew
-        of = lambda c, r: checked_broadcast(comp, 48, alias=lambda x: x.select(F.col("node").alias(c), F.col("root").alias(r)))
-        edges = found.join(of("u", "ru"), "u").join(of("v", "rv"), "v").select(F.col("ru").alias("u"), F.col("rv").alias("v"))
-        got = scratch.put(components(edges, scratch).select(F.col("node").alias("root"), F.col("root").alias("up")), "roots")
-        return scratch.put(comp.join(checked_broadcast(got, 48), "root", "left").select("node", F.coalesce("up", "root").alias("root"), *SIGNS), "comp")
-
-    comp, total, again = scratch.put(texts.select("node", F.col("node").alias("root"), *SIGNS), "comp"), 0, 0
-    while True:
-        again += 1
-        salt = F.xxhash64(F.col("d1"), F.col("band"), F.lit(again))
-        live = posts.join(checked_broadcast(comp, 88), F.col("d1") == F.col("node")).select("band", "d1", "root", *SIGNS)
-        o = F.struct(salt.alias("o"), "d1")
-        ends = live.groupBy("band").agg(F.min(o).alias("p"), F.max(o).alias("q"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-        ends = ends.where("lo <> hi").select("band", F.explode(F.array("p.d1", "q.d1")).alias("node")).join(checked_broadcast(comp, 88), "node")
-        ends = scratch.put(ends.select("band", F.struct("node", "root", *SIGNS).alias("p")), "ends")
-        pairs = live.join(checked_broadcast(ends, 136), "band").where("root <> p.root and " + may_match("", "p."))
-        found = verified(pairs.select(F.greatest("d1", "p.node").alias("u"), F.least("d1", "p.node").alias("v")).distinct())
-        new = found.count()
-        total += new
-        if new:
-            comp = merged(comp, found)
-        if new <= TAIL * total:
-            break
-    # the exact step: all pairs left, by bands that still hold two classes; one side of a large band is cut into slices
-    live = posts.join(checked_broadcast(comp, 88), F.col("d1") == F.col("node")).select("band", "d1", "root", *SIGNS)
-    left = live.groupBy("band").agg(F.count(F.lit(1)).alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-    left = scratch.put(left.select("band", F.expr(f"cast(c div {SLICE} + 1 as int)").alias("slices")), "left")
-    live = live.join(checked_broadcast(left, 48), "band").select("band", "slices", F.struct("d1", "root", *SIGNS).alias("a"))
-    live = scratch.put(live, "open")
-    one = live.select("band", F.pmod(F.xxhash64("a.d1"), F.col("slices")).cast("int").alias("slice"), "a")
-    other = live.select("band", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.col("a").alias("b"))
-    on = ["band", "slice"]
-    other = other.select(*(F.col(c).alias(f"other_{c}") for c in on), "b")
-    same = F.expr(" and ".join(f"{c} = other_{c}" for c in on) + " and a.d1 > b.d1 and a.root <> b.root and " + may_match("a.", "b."))
-    found = verified(one.join(other, same).select(F.col("a.d1").alias("u"), F.col("b.d1").alias("v")).distinct())
-    if not found.isEmpty():
-        comp = merged(comp, found)
-    rooted = scratch.put(comp.where("node <> root").select("node", "root"), "rooted")
-    joined = rows.select("dk", "th", "line", "d1", "d2").join(
-        checked_broadcast(rooted, 48, alias=lambda x: x.withColumnRenamed("node", "d1")), "d1", "left"
+    rows = scratch.put(src.mapInArrow(_line_batches, "dk long, th long, line int, d1 long, d2 long, size int, bands array<long>"), "lines")
+    each = rows.groupBy("d1", "d2").agg(
+        F.min(F.struct("dk", "th", "line")).alias("m"), F.count(F.lit(1)).alias("c"), F.max("size").alias("size"), F.first("bands").alias("bands")
     )
-    joined = joined.select("dk", "th", "line", F.coalesce("root", "d1").alias("g"))
-    many = scratch.put(joined.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("dk").alias("first")).where("n > 1").select("g", "first"), "many")
-    members = scratch.put(joined.join(checked_broadcast(many, 48), "g"), "members")
-    kept = members.where("dk = first").groupBy("g").agg(F.min(F.struct("line", "th")).alias("k"))
-    drops = members.join(kept, "g").where("not (dk = first and line = k.line and th = k.th)").select("dk", "th", "line").distinct()
-    drops = scratch.put(drops.groupBy("dk", "th").agg(F.collect_list("line").alias("dropped")), "drops")
+    # a written id stays what it is
+    each = scratch.put(each.withColumn("node", F.monotonically_increasing_id()), "distinct")
+    posts = each.select(F.posexplode("bands").alias("place", "band"), "size", "node")
+    shared = posts.groupBy("band").agg(F.count(F.lit(1)).alias("c"), F.sum("size").alias("bytes")).where("c > 1")
+    slices = F.expr(f"cast(greatest((c - 1) div {SLICE}, bytes div {SLICE_BYTES}) + 1 as int)")
+    shared = scratch.put(shared.select("band", slices.alias("slices")), "bands")
+    # of each line with a shared band its slices by the band's place, 0 where it is alone there
+    posts = posts.select("place", "band", "node").join(checked_broadcast(shared, 48), "band").groupBy("node")
+    posts = posts.agg(F.map_from_entries(F.collect_list(F.struct("place", "slices"))).alias("by"))
+    posts = posts.select("node", F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.coalesce(F.element_at("by", k), F.lit(0))).alias("slices"))
+    where = posts.join(each.select("node", "m"), "node").groupBy("m.dk", "m.th").agg(F.collect_list(F.struct("m.line", "node", "slices")).alias("lines"))
+    where = scratch.put(where, "where")
+    docs_n, lines_n = where.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("lines")), F.lit(0))).first()
+    side = F.broadcast(where) if 64 * docs_n + 120 * lines_n <= BROADCAST_BYTES else where
+    schema = "node long, t string, n int, " + ", ".join(f"m{i} long" for i in range(MAPS)) + ", bands array<long>, slices array<int>"
+    texts = scratch.put(src.join(side, ["dk", "th"]).select("dk", "th", "text", "lines").mapInArrow(_candidate_texts, schema), "texts")
+    if texts.count() > lines_n:  # repeated rows in different tasks
+        texts = scratch.put(texts.dropDuplicates(["node"]), "texts")
+    met = texts.select("node", "t", *SIGNS, "bands", F.explode(F.filter(F.arrays_zip("bands", "slices"), lambda x: x["slices"] > 0)).alias("p"))
+    met = met.select(F.col("p.bands").alias("band"), F.pmod(F.xxhash64("node", "p.bands"), F.col("p.slices")).cast("int").alias("slice"), "node", *SIGNS, "bands", "t")
+    met = met.repartition("band", "slice").sortWithinPartitions("band", "slice").mapInArrow(_met, "u long, v long")
+    comp = united(met, scratch)
+    if not shared.where("slices > 1").isEmpty():
+        comp = _crowded(texts, comp, scratch)
+    # of each class the smallest line stays
+    members = comp.unionAll(comp.select(F.col("root").alias("node"), "root").distinct())
+    members = scratch.put(members.join(each.select("node", "m"), "node"), "members")
+    kept = scratch.put(members.groupBy("root").agg(F.min("m").alias("k")), "kept")
+    members = scratch.put(members.join(checked_broadcast(kept, 96), "root").select("node", "k"), "keepers")
+    bad = each.select("node", "d1", "d2", "m", "c").join(checked_broadcast(members, 96), "node", "left").where("c > 1 or k <> m")
+    bad = scratch.put(bad.select("d1", "d2", F.coalesce("k", "m").alias("k")), "bad")
+    drops = rows.select("dk", "th", "line", "d1", "d2").join(checked_broadcast(bad, 120), ["d1", "d2"]).where("dk <> k.dk or th <> k.th or line <> k.line")
+    drops = scratch.put(drops.groupBy("dk", "th").agg(F.collect_set("line").alias("dropped")), "drops")
+    scratch.keep(drops)
     key = [F.col(k).alias(f"_line_{k}") for k in ("dk", "th", "dropped")]
     text = F.coalesce(F.col("text"), F.lit(""))
     n_lines = F.when(text == "", 0).otherwise(F.size(F.split(text, "\n"))).cast("long").alias("n_lines")

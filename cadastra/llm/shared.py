@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,23 +15,28 @@ BROADCAST_BYTES = 32 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, from spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder that all executors share, from spark.checkpoint.dir. Where that is unset a temporary one, in local mode only: elsewhere
+    executors would write to folders that the others can't see."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="cadastra-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
-#: Rows that go to a Python worker at once; long texts make the session's default of 10 000 a matter of hundreds of megabytes.
-BATCH_ROWS = 1000
+#: Rows and bytes that go to a Python worker at once: with long texts the session's default of 10 000 rows may be gigabytes.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bounds the session's Arrow batches, for workers with little memory; a smaller bound that is set stays."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name, "0")) <= BATCH_ROWS:
-        spark.conf.set(name, str(BATCH_ROWS))
+    """Bounds the session's Arrow batches, for workers with little memory; smaller bounds that are set stay."""
+    for name, most in (("Records", BATCH_ROWS), ("Bytes", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.max{name}PerBatch"
+        now = spark.conf.get(name).removesuffix("b")
+        if not (now.isdigit() and 0 < int(now) <= most):
+            spark.conf.set(name, str(most))
 
 
 class Scratch:
@@ -38,23 +45,32 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.base, self.n = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", 0
-        self.paths: dict[int, str] = {}
+        self.paths: list[str] = []
 
     def put(self, df: DataFrame, tag: str = "t") -> DataFrame:
         self.n += 1
         path = f"{self.base}/{self.n:03d}-{tag}"
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
         out._scratch_path = path
+        self.paths.append(path)
         return out
 
     def drop(self, *tables: DataFrame) -> None:
         """Deletes tables that no later plan reads."""
-        jvm = self.spark._jvm
         for t in tables:
-            path = jvm.org.apache.hadoop.fs.Path(t._scratch_path)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(t._scratch_path)
+
+    def keep(self, *tables: DataFrame) -> None:
+        """Deletes all tables of this run but these, which the plan that is handed back still reads."""
+        for path in set(self.paths) - {t._scratch_path for t in tables}:
+            self._delete(path)
+
+    def _delete(self, path: str) -> None:
+        if path in self.paths:
+            self.paths.remove(path)
+            at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def checked_broadcast(small: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES, alias=lambda x: x) -> DataFrame:
@@ -99,3 +115,58 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         e = small
     roots = e.select(F.col("b").alias("node")).distinct()
     return e.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(roots.select("node", F.col("node").alias("root")))
+
+
+#: Edges (of forests that tasks have left) that one last task may join, 32 MB; more go through the star steps.
+ONE_TASK = 1 << 21
+
+
+def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Union-find over arrays: each node that isn't the smallest of its component, and that smallest one."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    root = np.arange(len(nodes))
+    while True:
+        x, y = root[a], root[b]
+        apart = x != y
+        if not apart.any():
+            break
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while True:  # halve all paths until each node points to its root
+            up = root[root]
+            if np.array_equal(up, root):
+                break
+            root = up
+    moved = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[moved], nodes[root[moved]]
+
+
+def _forests(batches):
+    """Of a task's edges the stars that join the same nodes; the edges kept are fewer than the nodes seen."""
+    us, vs, n = [], [], 0
+
+    def merged():
+        return forest(np.concatenate(us), np.concatenate(vs))
+
+    for batch in batches:
+        us.append(batch.column(0).to_numpy(zero_copy_only=False))
+        vs.append(batch.column(1).to_numpy(zero_copy_only=False))
+        n += batch.num_rows
+        if n > 1 << 20:
+            u, v = merged()
+            us, vs, n = [u], [v], 0
+    if us:
+        u, v = merged()
+        for k in range(0, len(u), 1 << 17):
+            yield pa.record_batch([pa.array(u[k : k + (1 << 17)]), pa.array(v[k : k + (1 << 17)])], ["node", "root"])
+
+
+def united(edges: DataFrame, scratch: Scratch, one_task: int | None = None) -> DataFrame:
+    """Distributed union-find over edges(u, v) of longs without nulls: node, root (the smallest of its component) of every node that isn't
+    a root. Each task joins its own edges and hands on a forest, so parallel edges and hubs never leave it. What is left is joined in one
+    task if its counted edges are ONE_TASK (32 MB) at most, else by the star steps of `components`."""
+    left = scratch.put(edges.where("u <> v").select("u", "v").mapInArrow(_forests, "node long, root long"), "forests")
+    if left.count() <= (ONE_TASK if one_task is None else one_task):
+        return scratch.put(left.coalesce(1).mapInArrow(_forests, "node long, root long"), "united")
+    return scratch.put(components(left.select(F.col("node").alias("u"), F.col("root").alias("v")), scratch).where("node <> root"), "united")

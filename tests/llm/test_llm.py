@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import compare
 from cadastra.llm import ball_tree, exact_dedup, html_text, line_dedup, mixing, ngram_join, pii, quality, queries, sentencepiece_trie, url_filter
-from cadastra.llm.shared import Scratch, components
+from cadastra.llm.shared import Scratch, components, united
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LONG = " ".join(f"w{i % 977}x{i}" for i in range(30_000))
@@ -52,6 +52,9 @@ def test_components(spark):
         root[max(a, b)] = min(a, b)
     got = {r.node: r.root for r in components(spark.createDataFrame(pairs, "u long, v long"), Scratch(spark, "t")).collect()}
     assert got == {x: find(x) for x in root if any(x in p for p in pairs if p[0] != p[1])}
+    for most in (1 << 20, 10):  # joined in one task, and by the star steps
+        edges = spark.createDataFrame(pairs, "u long, v long").repartition(5)
+        assert {r.node: r.root for r in united(edges, Scratch(spark, "t"), most).collect()} == {x: r for x, r in got.items() if x != r}
 
 
 # -- 4 exact dedup
@@ -232,9 +235,11 @@ def test_line_dedup_recall(spark):
 
 
 def test_line_dedup_crowded_bands(spark, monkeypatch):
-    """Near copies in bands full of templated lines: with pivots for one round only, all pairs that share a band are still decided."""
-    monkeypatch.setattr(line_dedup, "TAIL", 1.0)
-    monkeypatch.setattr(line_dedup, "SLICE", 20, raising=False)
+    """Near copies in bands full of templated lines, in many slices: with pivots for one round only, all pairs that share a band are
+    decided."""
+    monkeypatch.setattr(line_dedup, "STARS", 1.0)
+    monkeypatch.setattr(line_dedup, "SLICE", 20)
+    monkeypatch.setattr(line_dedup, "LISTED", 6)
     rng = np.random.default_rng(17)
     word = lambda n: "".join(chr(97 + x) for x in rng.integers(0, 26, n))
     frame, lines = " ".join(word(6) for _ in range(20)), []
