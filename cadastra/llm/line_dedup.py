@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel
-from .shared import BROADCAST_BYTES, Scratch, checked_broadcast, small_batches, united
+from .shared import BROADCAST_BYTES, Scratch, checked_broadcast, lean, small_batches, stars, united
 
 #: Bytes in a shingle, bands, rows in a band. A pair of Jaccard 0.8 shares a band with probability 1 - (1 - 0.8^4)^8 = 0.985, one
 #: of 0.85 with 0.997, one of 0.5 with 0.40 (and is then rejected).
@@ -131,7 +131,7 @@ def _candidate_texts(batches):
             met.add(x)
         batch = batch.filter(pa.array(fresh, pa.bool_()))
         flat = batch.column(3).flatten()
-        texts, size, maps, keys = [], [], [], []
+        texts, sets, keys = [], [], []
         numbers, at = flat.field("line").to_numpy(), 0
         for text, many in zip(batch.column(2).to_pylist(), batch.column(3).value_lengths().to_pylist()):
             raw = np.frombuffer(text.encode(), np.uint8)
@@ -141,15 +141,13 @@ def _candidate_texts(batches):
             keys.append(signatures(buf, first[chosen], last[chosen]))
             whole = buf.tobytes()
             for a, b in zip(first[chosen].tolist(), last[chosen].tolist()):
-                s = shingles(whole[a:b])
                 texts.append(whole[a:b].decode())
-                size.append(len(s))
-                maps.append(parity(s))
-        maps = np.array(maps, np.int64).reshape(-1, MAPS)
+                sets.append(shingles(whole[a:b]))
+        maps = parity(sets)
         keys = np.concatenate(keys).view(np.int64).ravel() if keys else np.zeros(0, np.int64)
         bands = pa.ListArray.from_arrays(np.arange(0, len(keys) + 1, BANDS, dtype=np.int32), pa.array(keys))
         yield pa.record_batch(
-            [flat.field("node"), pa.array(texts, pa.string()), pa.array(size, pa.int32()), *(pa.array(maps[:, i]) for i in range(MAPS)), bands, flat.field("slices")],
+            [flat.field("node"), pa.array(texts, pa.string()), pa.array([len(s) for s in sets], pa.int32()), *(pa.array(maps[:, i]) for i in range(MAPS)), bands, flat.field("slices")],
             ["node", "t", *SIGNS, "bands", "slices"],
         )
 
@@ -159,17 +157,27 @@ def shingles(text: str | bytes) -> np.ndarray:
     raw = text.encode() if isinstance(text, str) else text
     if len(raw) < Q:
         return np.zeros(0, U)
-    return np.unique(np.ndarray((len(raw) - Q + 1,), "<u8", raw, strides=(1,)))
+    v = np.sort(np.ndarray((len(raw) - Q + 1,), "<u8", raw, strides=(1,)))
+    new = np.empty(len(v), bool)
+    new[0] = True
+    np.not_equal(v[1:], v[:-1], out=new[1:])
+    return v[new]
 
 
 SIGNS = ["n", *(f"m{i}" for i in range(MAPS))]
 
 
-def parity(s: np.ndarray) -> np.ndarray:
-    """For each of MAPS * 64 buckets whether an odd number of shingles falls there. Two maps differ in no more bits than their sets in
-    shingles."""
-    at = (kernel.mix(s) & U(64 * MAPS - 1)).astype(np.int64)
-    return np.packbits((np.bincount(at, minlength=64 * MAPS) & 1).astype(np.uint8)).view("<i8")
+def parity(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set and each of MAPS * 64 buckets whether an odd number of shingles falls there (sets x MAPS longs). Two maps differ in no
+    more bits than their sets in shingles."""
+    out, width = np.zeros((len(sets), MAPS), np.int64), 64 * MAPS
+    ends = np.cumsum([len(s) for s in sets])
+    for i, j in kernel.chunks(np.r_[0, ends]):
+        line = np.repeat(np.arange(j - i), [len(s) for s in sets[i:j]])
+        at = (kernel.mix(np.concatenate(sets[i:j])) & U(width - 1)).astype(np.int64)
+        odd = (np.bincount(line * width + at, minlength=(j - i) * width) & 1).astype(np.uint8)
+        out[i:j] = np.packbits(odd).view("<i8").reshape(-1, MAPS)
+    return out
 
 
 def may_match(a: str, b: str) -> str:
@@ -264,7 +272,7 @@ class _Met:
 
 
 def _met(batches):
-    """Links among the lines of each (band, slice), from rows sorted by it; as many as it takes to join them."""
+    """From rows sorted by (band, slice) the links among the lines of each, as many as it takes to join them."""
     held = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
@@ -279,10 +287,14 @@ def _met(batches):
         yield _linked(held)
 
 
-def _linked(table: pa.Table) -> pa.RecordBatch:
+def _linked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     met = _Met(table)
-    u, v = met.links()
-    return pa.record_batch([pa.array(met.node[u] if u else np.zeros(0, np.int64)), pa.array(met.node[v] if v else np.zeros(0, np.int64))], ["u", "v"])
+    u, v = (np.array(x, int) for x in met.links())
+    return met.node[u], met.node[v]
+
+
+def _met_stars(batches):
+    return stars(_met(batches))
 
 
 def _rebuilt(batches):
@@ -313,7 +325,7 @@ def _crowded(texts: DataFrame, comp: DataFrame, scratch: Scratch) -> DataFrame:
     def joined(pairs: DataFrame) -> DataFrame:
         a, b = texts.select(F.col("node").alias("u"), F.col("t").alias("tu")), texts.select(F.col("node").alias("v"), F.col("t").alias("tv"))
         pairs = pairs.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct()
-        return scratch.put(pairs.join(a, "u").join(b, "v").select("u", "v", "tu", "tv").mapInArrow(_verified, "u long, v long"), "links")
+        return scratch.put(pairs.join(a, "u").join(b, "v").select("u", "v", "tu", "tv").mapInArrow(lean(_verified), "u long, v long"), "links")
 
     again = 0
     while True:
@@ -373,7 +385,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     others = [c for c in docs.columns if c != "text"]
     ident = [F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("dk"), F.xxhash64("text").alias("th")]
     src = docs.select(*ident, F.col("text").cast("string").alias("text")).where("text is not null and text <> ''")
-    rows = scratch.put(src.mapInArrow(_line_batches, "dk long, th long, line int, d1 long, d2 long, size int, bands array<long>"), "lines")
+    rows = scratch.put(src.mapInArrow(lean(_line_batches), "dk long, th long, line int, d1 long, d2 long, size int, bands array<long>"), "lines")
     each = rows.groupBy("d1", "d2").agg(
         F.min(F.struct("dk", "th", "line")).alias("m"), F.count(F.lit(1)).alias("c"), F.max("size").alias("size"), F.first("bands").alias("bands")
     )
@@ -392,12 +404,12 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     docs_n, lines_n = where.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("lines")), F.lit(0))).first()
     side = F.broadcast(where) if 64 * docs_n + 120 * lines_n <= BROADCAST_BYTES else where
     schema = "node long, t string, n int, " + ", ".join(f"m{i} long" for i in range(MAPS)) + ", bands array<long>, slices array<int>"
-    texts = scratch.put(src.join(side, ["dk", "th"]).select("dk", "th", "text", "lines").mapInArrow(_candidate_texts, schema), "texts")
+    texts = scratch.put(src.join(side, ["dk", "th"]).select("dk", "th", "text", "lines").mapInArrow(lean(_candidate_texts), schema), "texts")
     if texts.count() > lines_n:  # repeated rows in different tasks
         texts = scratch.put(texts.dropDuplicates(["node"]), "texts")
     met = texts.select("node", "t", *SIGNS, "bands", F.explode(F.filter(F.arrays_zip("bands", "slices"), lambda x: x["slices"] > 0)).alias("p"))
     met = met.select(F.col("p.bands").alias("band"), F.pmod(F.xxhash64("node", "p.bands"), F.col("p.slices")).cast("int").alias("slice"), "node", *SIGNS, "bands", "t")
-    met = met.repartition("band", "slice").sortWithinPartitions("band", "slice").mapInArrow(_met, "u long, v long")
+    met = met.repartition("band", "slice").sortWithinPartitions("band", "slice").mapInArrow(lean(_met_stars), "node long, root long")
     comp = united(met, scratch)
     if not shared.where("slices > 1").isEmpty():
         comp = _crowded(texts, comp, scratch)
@@ -418,6 +430,6 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     marked = base.join(checked_broadcast(drops, 256, alias=lambda x: x.select(*key)), ["_line_dk", "_line_th"], "left")
     out = ["n_lines", *others, "text"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in marked.select(*out).schema) + ", n_dropped long"
-    cut = marked.where("_line_dropped is not null").select(*out, "_line_dropped").mapInArrow(_rebuilt, schema)
+    cut = marked.where("_line_dropped is not null").select(*out, "_line_dropped").mapInArrow(lean(_rebuilt), schema)
     whole = marked.where("_line_dropped is null").select(*out, F.lit(0).cast("long").alias("n_dropped"))
     return cut.unionByName(whole).select("n_lines", "n_dropped", *others[: docs.columns.index("text")], "text", *others[docs.columns.index("text") :])

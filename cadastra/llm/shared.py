@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +42,21 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(name, str(most))
 
 
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run(batches) for mapInArrow, whose memory goes back to the system at its end: a worker stays for later tasks of other kinds."""
+
+    def wrapped(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except AttributeError:  # a C library without it
+            pass
+
+    return wrapped
+
+
 class Scratch:
     """Intermediate tables of one run, written as Parquet to the shared folder. Reading them back cuts the lineage, survives the
     loss of executors and gives the planner real sizes."""
@@ -142,31 +160,33 @@ def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[root[moved]]
 
 
-def _forests(batches):
-    """Of a task's edges the stars that join the same nodes; the edges kept are fewer than the nodes seen."""
+def stars(pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Of a task's edges the stars (node, root) that join the same nodes; at no time more than a million edges and the nodes seen."""
     us, vs, n = [], [], 0
-
-    def merged():
-        return forest(np.concatenate(us), np.concatenate(vs))
-
-    for batch in batches:
-        us.append(batch.column(0).to_numpy(zero_copy_only=False))
-        vs.append(batch.column(1).to_numpy(zero_copy_only=False))
-        n += batch.num_rows
+    for u, v in pairs:
+        us.append(u)
+        vs.append(v)
+        n += len(u)
         if n > 1 << 20:
-            u, v = merged()
+            u, v = forest(np.concatenate(us), np.concatenate(vs))
             us, vs, n = [u], [v], 0
     if us:
-        u, v = merged()
+        u, v = forest(np.concatenate(us), np.concatenate(vs))
         for k in range(0, len(u), 1 << 17):
-            yield pa.record_batch([pa.array(u[k : k + (1 << 17)]), pa.array(v[k : k + (1 << 17)])], ["node", "root"])
+            yield pa.record_batch([pa.array(u[k : k + (1 << 17)], pa.int64()), pa.array(v[k : k + (1 << 17)], pa.int64())], ["node", "root"])
+
+
+def _forests(batches):
+    return stars((b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)) for b in batches)
 
 
 def united(edges: DataFrame, scratch: Scratch, one_task: int | None = None) -> DataFrame:
-    """Distributed union-find over edges(u, v) of longs without nulls: node, root (the smallest of its component) of every node that isn't
-    a root. Each task joins its own edges and hands on a forest, so parallel edges and hubs never leave it. What is left is joined in one
-    task if its counted edges are ONE_TASK (32 MB) at most, else by the star steps of `components`."""
-    left = scratch.put(edges.where("u <> v").select("u", "v").mapInArrow(_forests, "node long, root long"), "forests")
+    """Distributed union-find over edges(u, v), or each task's stars(node, root), of longs without nulls: node, root (the smallest of its
+    component) of every node that isn't a root. Each task joins its own edges and hands on a forest, so parallel edges and hubs never
+    leave it. What is left is joined in one task if its counted edges are ONE_TASK (32 MB) at most, else by the star steps of
+    `components`."""
+    made = "root" in edges.columns
+    left = scratch.put(edges if made else edges.where("u <> v").select("u", "v").mapInArrow(lean(_forests), "node long, root long"), "forests")
     if left.count() <= (ONE_TASK if one_task is None else one_task):
-        return scratch.put(left.coalesce(1).mapInArrow(_forests, "node long, root long"), "united")
+        return scratch.put(left.coalesce(1).mapInArrow(lean(_forests), "node long, root long"), "united")
     return scratch.put(components(left.select(F.col("node").alias("u"), F.col("root").alias("v")), scratch).where("node <> root"), "united")
