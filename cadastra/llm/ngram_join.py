@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,11 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel
-from .shared import Scratch, checked_broadcast, components, small_batches
+from .shared import Scratch, checked_broadcast, lean, small_batches, united
 
 U = np.uint64
 #: Counters in one block of the frequency sketch; the sketch has 2^16 to 2^22 counters, by the number of documents.
 BLOCK, LEAST_BITS, MOST_BITS = 4096, 16, 22
+#: Where a counter stops (it only orders tokens), and how many groups of tasks are summed apart at first.
+MOST_COUNTED, FAN_IN = 65535, 64
 #: Share of all shingles, by hash, over which tokens of one class only are counted first: so many times the distance allowed.
 OWN_SHARE = 2.0
 #: Longest prefix extension, and the cost of verifying a candidate in postings read.
@@ -58,26 +61,32 @@ def sketch_batches(batches, words: int, bits: int):
             if len(s):
                 np.add.at(count, (s >> U(64 - bits)).astype(np.int64), 1)
     if count.any():
-        blocks = count.reshape(-1, BLOCK)
+        blocks = np.minimum(count, MOST_COUNTED).astype(np.uint16).reshape(-1, BLOCK)
         some = np.flatnonzero(blocks.any(1))
         yield pa.record_batch([pa.array(some.astype(np.int32)), pa.array([blocks[k].tobytes() for k in some], pa.binary())], ["block", "counts"])
 
 
-def sum_blocks(key, table):
-    """Sums one block over tasks: as many rows as tasks, BLOCK counters each."""
+def sum_blocks(key: tuple[pa.Scalar, ...], tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums one block over tasks, batch by batch; counters stop at MOST_COUNTED."""
     total = np.zeros(BLOCK, np.int64)
-    for x in table.column("counts").to_pylist():
-        total += np.frombuffer(x, np.int32)
-    return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
+    for table in tables:
+        for x in table.column("counts").to_pylist():
+            total += np.frombuffer(x, np.uint16)
+    counts = np.minimum(total, MOST_COUNTED).astype(np.uint16)
+    yield pa.record_batch([pa.array([key[0].as_py()], pa.int32()), pa.array([counts.tobytes()], pa.binary())], ["block", "counts"])
 
 
 def frequencies(text: DataFrame, words: int, bits: int) -> np.ndarray:
-    """Number of documents by hashed shingle, over all documents, in 2^bits counters (32 MB at most) summed on the executors."""
-    parts = text.mapInArrow(lambda it: sketch_batches(it, words, bits), "block int, counts binary")
-    total = np.zeros((1 << bits) // BLOCK * BLOCK, np.int64).reshape(-1, BLOCK)
-    for r in parts.groupBy("block").applyInArrow(sum_blocks, "block int, counts binary").collect():
-        total[r.block] = np.frombuffer(r.counts, np.int64)
-    return np.minimum(total.ravel(), 2**31 - 1).astype(np.int32)
+    """Number of documents by hashed shingle, over all documents, in 2^bits counters of two bytes (8 MB at most). Tasks send their counters
+    by block; blocks are summed on the executors in two levels, over FAN_IN groups of tasks and then over these, as streams of batches."""
+    parts = text.mapInArrow(lean(lambda it: sketch_batches(it, words, bits)), "block int, counts binary")
+    parts = parts.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(FAN_IN)))
+    for keys in (["block", "part"], ["block"]):
+        parts = parts.groupBy(*keys).applyInArrow(sum_blocks, "block int, counts binary")
+    total = np.zeros(((1 << bits) // BLOCK, BLOCK), np.uint16)
+    for r in parts.collect():
+        total[r.block] = np.frombuffer(r.counts, np.uint16)
+    return total.ravel()
 
 
 def matches_needed(excess: np.ndarray, base: int, need: int) -> int:
@@ -105,7 +114,7 @@ def prefix_batches(batches, words: int, percent: int, freq: np.ndarray):
             d = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
             s1.append(int.from_bytes(d[:8], "little", signed=True))
             s2.append(int.from_bytes(d[8:], "little", signed=True))
-            f = freq[(s >> U(64 - bits)).astype(np.int64)]
+            f = freq[(s >> U(64 - bits)).astype(np.int64)].astype(np.int64)
             order = np.lexsort((s, f))
             need = -(-percent * len(s) // 100)
             base = len(s) - need + 1
@@ -168,7 +177,8 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     bits = min(max(int(max(docs.count(), 1)).bit_length() + 2, LEAST_BITS), MOST_BITS)
     freq = spark.sparkContext.broadcast(frequencies(src.select("text"), words, bits))
     schema = "doc_id long, th long, n long, s1 long, s2 long, matches int, prefix array<long>, sample array<long>"
-    rows = scratch.put(src.mapInArrow(lambda it: prefix_batches(it, words, percent, freq.value), schema), "rows")
+    rows = scratch.put(src.mapInArrow(lean(lambda it: prefix_batches(it, words, percent, freq.value)), schema), "rows")
+    freq.destroy()
     seed = 0
     while True:  # node: 64 bits of the digest; hashed anew in the unlikely case that two classes share them
         node = F.xxhash64("s1", "s2", F.lit(seed)).alias("node")
@@ -192,6 +202,7 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         inside = scratch.put(comp.join(roots, "root").select("node", "component_id"), "inside")
         out = inside.unionAll(out.join(inside, "node", "left_anti"))
     out = scratch.put(out, "out")
+    scratch.keep(rows, out)
     return (
         rows.withColumn("node", F.when(F.col("n") > 0, node))
         .join(checked_broadcast(out, 64), "node", "left")
@@ -207,7 +218,7 @@ def linked(src: DataFrame, full: DataFrame, posts: DataFrame, words: int, percen
     picked = src.join(
         checked_broadcast(where, 64), F.col("doc_id").eqNullSafe(F.col("id")) & (src["th"] == where["th"])
     ).select("node", "text")
-    sets = scratch.put(picked.mapInArrow(lambda it: set_batches(it, words), "node long, tokens array<long>").dropDuplicates(["node"]), "sets")
+    sets = scratch.put(picked.mapInArrow(lean(lambda it: set_batches(it, words)), "node long, tokens array<long>").dropDuplicates(["node"]), "sets")
     for _ in range(2):  # own: tokens that no other class still in play has
         own = (
             sets.select("node", F.explode("tokens").alias("token"))
@@ -234,7 +245,7 @@ def linked(src: DataFrame, full: DataFrame, posts: DataFrame, words: int, percen
     def merged(comp: DataFrame, found: DataFrame) -> DataFrame:
         of = lambda c, r: checked_broadcast(comp, 48, alias=lambda x: x.select(F.col("node").alias(c), F.col("root").alias(r)))
         edges = found.join(of("u", "ru"), "u").join(of("v", "rv"), "v").select(F.col("ru").alias("u"), F.col("rv").alias("v"))
-        got = scratch.put(components(edges, scratch).select(F.col("node").alias("root"), F.col("root").alias("up")), "roots")
+        got = united(edges, scratch).select(F.col("node").alias("root"), F.col("root").alias("up"))
         return scratch.put(comp.join(checked_broadcast(got, 48), "root", "left").select("node", F.coalesce("up", "root").alias("root")), "comp")
 
     comp, total, again = scratch.put(posts.select("node").distinct().withColumn("root", F.col("node")), "comp"), 0, 0
