@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel
-from .shared import small_batches
+from .shared import lean, small_batches
 
 #: The byte classes that line features count.
 UPPER, DIGITS, BANG, PIPE, SYMBOLS, PUNCT = (
@@ -176,9 +176,23 @@ def score_batch(model: dict, column: pa.Array) -> np.ndarray:
     return out
 
 
+def _fitted(batches):
+    """The model of a sample (text, quality) as one row; none without both classes."""
+    batches = list(batches)
+    if not batches:
+        return
+    rows = pa.Table.from_batches(batches).combine_chunks()
+    quality = rows.column(1).to_numpy().astype(int)
+    if len(set(quality.tolist())) == 2:
+        data, offsets = kernel.buffers(rows.column(0).chunk(0))
+        m = fit(*features(data, offsets), quality)
+        yield pa.record_batch([pa.array([m["w"].tolist()]), pa.array([m["trans"].ravel().tolist()]), pa.array([m["a"]]), pa.array([m["b"]])], ["w", "trans", "a", "b"])
+
+
 def train(docs: DataFrame, labels: DataFrame) -> dict | None:
     """Model from a bounded sample: of each class the SAMPLE labelled documents first in hash order, among those of at most
-    SAMPLE_BYTES; the sample joins the documents as a broadcast of at most twice that many ids. None without both classes."""
+    SAMPLE_BYTES; the sample joins the documents as a broadcast of at most twice that many ids. One task trains on it, the driver gets
+    the weights only. None without both classes."""
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
     usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & (fold != 2))
     usable = usable.groupBy("doc_id").agg(F.max("quality").alias("quality"))
@@ -187,13 +201,9 @@ def train(docs: DataFrame, labels: DataFrame) -> dict | None:
     text = F.coalesce(F.col("text"), F.lit(""))
     got = docs.select("doc_id", "text").join(sample, "doc_id").where(F.octet_length(text).between(1, SAMPLE_BYTES))
     first = lambda q: got.where(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(SAMPLE)
-    rows = first(0).unionAll(first(1)).select("text", "quality").collect()
-    quality = np.array([r.quality for r in rows], int)
-    if len(set(quality.tolist())) < 2:
-        return None
-    data, offsets = kernel.buffers(pa.array([r.text for r in rows], pa.string()))
-    x, weight, at = features(data, offsets)
-    return fit(x, weight, at, quality)
+    rows = first(0).unionAll(first(1)).select("text", F.col("quality").cast("int").alias("quality"))
+    found = rows.coalesce(1).mapInArrow(lean(_fitted), "w array<double>, trans array<double>, a double, b double").first()
+    return found and {"w": np.array(found.w), "trans": np.array(found.trans).reshape(2, 2), "a": found.a, "b": found.b}
 
 
 def score(docs: DataFrame, model: dict | None) -> DataFrame:
@@ -209,7 +219,7 @@ def score(docs: DataFrame, model: dict | None) -> DataFrame:
             yield pa.record_batch([batch.column(0), pa.array(score_batch(model, batch.column(1)))], ["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, score double"
+        lean(run), "doc_id long, score double"
     )
 
 
@@ -224,7 +234,7 @@ def keep(docs: DataFrame, model: dict | None) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(score_batch(model, batch.column(at)) >= THRESHOLD))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
