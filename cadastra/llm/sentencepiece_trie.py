@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import gc
+import hashlib
+import heapq
 import math
 import re
 from itertools import chain
@@ -20,8 +22,9 @@ MARK = "▁"
 #: Piece types of the model format, as stated in its public schema.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: Distinct words that a worker remembers between batches; beyond it starts anew. It bounds memory and changes no result.
-REMEMBERED = 400_000
+#: Distinct words, and pairs of pieces, that a worker remembers between batches; beyond it starts anew. They bound memory and change no
+#: result.
+REMEMBERED, PAIRS = 150_000, 300_000
 
 
 def _fields(data: bytes):
@@ -54,7 +57,7 @@ class Model:
 
     def __init__(self, data: bytes):
         self.pieces, self.scores, self.types = [], [], []
-        self.kind, self.prefix, self.squeeze, self.charsmap = UNIGRAM, True, True, b""
+        self.kind, self.prefix, self.squeeze, self.charsmap, falls_back = UNIGRAM, True, True, b"", False
         for field, value in _fields(data):
             if field == 1:
                 got = dict(_fields(value))
@@ -62,7 +65,8 @@ class Model:
                 self.scores.append(float(np.frombuffer(got[2], "<f4")[0]) if 2 in got else 0.0)
                 self.types.append(got.get(3, NORMAL))
             elif field == 2:
-                self.kind = dict(_fields(value)).get(3, UNIGRAM)
+                got = dict(_fields(value))
+                self.kind, falls_back = got.get(3, UNIGRAM), bool(got.get(35, 0))
             elif field == 3:
                 got = dict(_fields(value))
                 self.prefix, self.squeeze, self.charsmap = bool(got.get(3, 1)), bool(got.get(4, 1)), got.get(2, b"")
@@ -72,7 +76,7 @@ class Model:
         self.ids = usable
         if any(MARK in p.lstrip(MARK) for p in usable):
             raise ValueError("a piece crosses words")
-        self.bytes = {int(p[3:5], 16): i for i, (p, t) in enumerate(zip(self.pieces, self.types)) if t == BYTE}
+        self.bytes = {int(p[3:5], 16): i for i, (p, t) in enumerate(zip(self.pieces, self.types)) if t == BYTE and falls_back}
         self.unk = self.types.index(UNKNOWN)
         self.known = {p for p in usable if len(p) == 1}
         low = min((s for s, t in zip(self.scores, self.types) if t == NORMAL), default=0.0)
@@ -80,31 +84,42 @@ class Model:
         self.valid: dict[int, bool] = {}
 
     def fallback(self, text: str) -> list[int]:
-        """Ids of characters that no piece covers."""
-        out = []
-        for c in text:
-            out += [self.bytes[b] for b in c.encode()] if self.bytes else [self.unk]
-        return out
+        """Ids of characters that no piece covers: their bytes, or one unknown piece for all of them."""
+        return [self.bytes[b] for b in text.encode()] if self.bytes else [self.unk] if text else []
 
     # -- byte-pair models
 
     def merge(self, word: str) -> list[int]:
-        """Plain byte-pair encoding of known characters: again and again the leftmost adjacent pair whose union scores highest."""
-        parts = list(word)
-        while len(parts) > 1:
-            best, at = -math.inf, -1
-            for k in range(len(parts) - 1):
-                i = self.ids.get(parts[k] + parts[k + 1])
-                if i is not None and self.scores[i] > best:
-                    best, at = self.scores[i], k
-            if at < 0:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [self.ids[p] for p in parts]
+        """Plain byte-pair encoding of known characters: again and again the leftmost adjacent pair whose union scores highest. Pairs wait
+        in a heap; each merge joins two links of a list, so long runs take n log n."""
+        parts: list[str | None] = list(word)
+        after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
+        heap: list[tuple[float, int, str]] = []
+
+        def offer(k: int) -> None:
+            if k >= 0 and after[k] < len(parts):
+                both = parts[k] + parts[after[k]]
+                i = self.ids.get(both)
+                if i is not None:
+                    heapq.heappush(heap, (-self.scores[i], k, both))
+
+        for k in range(len(parts) - 1):
+            offer(k)
+        while heap:
+            _, k, both = heapq.heappop(heap)
+            nxt = after[k]
+            if parts[k] is None or nxt >= len(parts) or parts[k] + parts[nxt] != both:
+                continue  # one of its halves has merged otherwise since
+            parts[k], parts[nxt], after[k] = both, None, after[nxt]
+            if after[k] < len(parts):
+                before[after[k]] = k
+            offer(before[k])
+            offer(k)
+        return [self.ids[p] for p in parts if p is not None]
 
     def follows(self, a: int, b: int) -> bool:
         """Whether piece b may stand after piece a: together they encode to just these two."""
-        if len(self.valid) > 1_000_000:
+        if len(self.valid) > PAIRS:
             self.valid.clear()
         got = self.valid[a << 32 | b] = self.merge(self.pieces[a] + self.pieces[b]) == [a, b]
         return got
@@ -130,7 +145,8 @@ class Model:
     # -- depth-first over sorted words
 
     def encode_sorted(self, words: list[str]) -> list[list[int]]:
-        """Ids of each of the sorted distinct words of known characters.
+        """Ids of each of the sorted distinct words: of known characters, or with a unigram model of any, where -1 stands for a character
+        that no piece covers.
 
         Neighbours in sorted order are neighbours on the trie; walking them keeps a stack with one forward state per character of the
         current path and cuts it back to the common prefix, so no prefix is computed twice. For a unigram model the state is the best
@@ -156,8 +172,8 @@ class Model:
                 node = step.get((0, c))
                 if node is not None:
                     live.append((end, node))
-                for start, node in live:
-                    i = ends[node]
+                for start, at_node in live:
+                    i = ends[at_node]
                     if i < 0:
                         continue
                     if unigram:
@@ -175,6 +191,8 @@ class Model:
                         if ok or ok is None and follows(a, i):
                             at = i
                             break
+                if unigram and (node is None or ends[node] < 0) and score[end] + self.unk_score > best:
+                    best, at = score[end] + self.unk_score, -1
                 score.append(best)
                 last.append(at)
                 open_.append(live)
@@ -182,22 +200,41 @@ class Model:
             got, end = [], len(word)
             while end > 0:
                 got.append(last[end])
-                end -= len(pieces[last[end]])
+                end -= len(pieces[last[end]]) if last[end] >= 0 else 1
             out.append(got[::-1])
             before = word
         return out
 
     def encode_words(self, words: set[str]) -> dict[str, list[int]]:
         """Ids of distinct marked words of any characters."""
+        if self.kind == UNIGRAM:
+            order = sorted(words)
+            return {w: self.covered(w, ids) if -1 in ids else ids for w, ids in zip(order, self.encode_sorted(order))}
         split = self.known_run.findall
         parts = {w: split(w) for w in words}
         runs = {r for p in parts.values() for r in p if r[0] in self.known}
-        plain = sorted(r for r in runs if not (self.kind == BPE and r.startswith(MARK * 2)))
+        plain = sorted(r for r in runs if not r.startswith(MARK * 2))
         got = dict(zip(plain, self.encode_sorted(plain)))
         for r in runs - got.keys():  # runs of marks, whose pieces tie in score, are merged step by step
             got[r] = self.merge(r)
         return {w: [i for r in p for i in (got[r] if r in got else self.fallback(r))] for w, p in parts.items()}
 
+    def covered(self, word: str, ids: list[int]) -> list[int]:
+        """ids with each run of -1 replaced by what its characters fall back to."""
+        out, at, begin = [], 0, None
+        for i in [*ids, None]:
+            if i == -1:
+                begin = at if begin is None else begin
+                at += 1
+                continue
+            if begin is not None:
+                out += self.fallback(word[begin:at])
+                begin = None
+            if i is not None:
+                out.append(i)
+                at += len(self.pieces[i])
+        return out
+
     @property
     def known_run(self) -> re.Pattern:
         if not hasattr(self, "_run"):
@@ -229,16 +266,13 @@ class Model:
 
 #: A mark with what follows it, or the piece of text before the first mark.
 WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-_models: dict[str, Model] = {}
-_tables: dict[str, "_Table"] = {}
+_tables: dict[bytes, "_Table"] = {}
 
 
-def load(path: str) -> Model:
-    """The model of this worker, read once; the file must be at the same path everywhere, like the interpreter itself."""
-    if path not in _models:
-        with open(path, "rb") as f:
-            _models[path] = Model(f.read())
-    return _models[path]
+def read(path: str) -> bytes:
+    """The model file's bytes. They go to the executors with the job, which need no file of their own."""
+    with open(path, "rb") as f:
+        return f.read()
 
 
 class _Table:
@@ -275,11 +309,13 @@ class _Table:
         self.used = m
 
 
-def table_of(path: str) -> _Table:
-    """This worker's table, kept from task to task."""
-    if path not in _tables:
-        _tables[path] = _Table(load(path))
-    return _tables[path]
+def table_of(data: bytes) -> _Table:
+    """This worker's model and table, kept from task to task."""
+    name = hashlib.sha256(data).digest()
+    if name not in _tables:
+        _tables.clear()
+        _tables[name] = _Table(Model(data))
+    return _tables[name]
 
 
 def _gather(flat: np.ndarray, begin: np.ndarray, lengths: np.ndarray, pick: np.ndarray) -> np.ndarray:
@@ -321,17 +357,25 @@ def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
 
     One pass without a shuffle. Each worker takes about a megabyte of text at a time, splits it into marked words, encodes the
     distinct ones it hasn't met along the trie, and puts texts together by number. Null texts get null ids, no tokens and a null
-    round_trip; empty ones no ids; repeated rows come back each; other columns pass through. With a model that squeezes spaces the
-    round trip is to the squeezed text.
+    round_trip; empty ones no ids; repeated rows come back each; other columns pass through, but for n_tokens, token_ids and
+    round_trip, which are replaced. With a model that squeezes spaces the round trip is to the squeezed text.
     """
     small_batches(docs.sparkSession)
+    docs, model_file = docs.drop("n_tokens", "token_ids", "round_trip"), read(path)
     at = docs.columns.index("text")
     others = [k for k, c in enumerate(docs.columns) if c != "text"]
     names = [*(docs.columns[k] for k in others), "n_tokens", "token_ids", "round_trip"]
 
     def run(batches):
         gc.disable()  # millions of small lists, none in a cycle
-        model, table = load(path), table_of(path)
+        try:
+            yield from encoded(batches)
+        finally:
+            gc.enable()
+
+    def encoded(batches):
+        table = table_of(model_file)
+        model = table.model
         flat, begin, lengths = piece_bytes(model)
         for batch in batches:
             _, offsets = kernel.buffers(batch.column(at))
@@ -361,12 +405,13 @@ def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
 
 
 def decode(tokens: DataFrame, path: str = MODEL) -> DataFrame:
-    """All columns of tokens(token_ids, ...) and text; null ids give a null text."""
+    """All columns of tokens(token_ids, ...) and text, which replaces a column of that name; null ids give a null text."""
     small_batches(tokens.sparkSession)
+    tokens, model_file = tokens.drop("text"), read(path)
     at = tokens.columns.index("token_ids")
 
     def run(batches):
-        model = load(path)
+        model = table_of(model_file).model
         for batch in batches:
             texts = [None if x is None else model.decode(x) for x in batch.column(at).to_pylist()]
             yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "text"])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import compare
 from cadastra.llm import ball_tree, exact_dedup, html_text, line_dedup, mixing, ngram_join, pii, quality, queries, sentencepiece_trie, url_filter
-from cadastra.llm.shared import Scratch, components, united
+from cadastra.llm.shared import Scratch, components, forest, united
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LONG = " ".join(f"w{i % 977}x{i}" for i in range(30_000))
@@ -264,6 +264,99 @@ def test_line_dedup_crowded_bands(spark, monkeypatch):
     assert sum(r.n_dropped for r in got) > 10
 
 
+def line_classes(lines):
+    """Brute force over an index of the rarest shingles: the class of each line under exact Jaccard SIMILARITY, and how many joins it took."""
+    sets = [line_dedup.shingles(x) for x in lines]
+    _, inv = np.unique(np.concatenate(sets), return_inverse=True)
+    df, at = np.bincount(inv), np.r_[0, np.cumsum([len(s) for s in sets])]
+    root, posts, joins = list(range(len(lines))), {}, 0
+
+    def find(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for i in sorted(range(len(lines)), key=lambda i: len(sets[i])):
+        mine = inv[at[i] : at[i + 1]]
+        rare = mine[np.argsort(df[mine], kind="stable")][: len(mine) - int(np.ceil(0.8 * len(mine))) + 1].tolist() if len(mine) else []
+        for j in {j for t in rare for j in posts.get(t, ())}:
+            x, y = find(i), find(j)
+            if x != y and line_dedup.similar(sets[i], sets[j]):
+                root[max(x, y)], joins = min(x, y), joins + 1
+        for t in rare:
+            posts.setdefault(t, []).append(i)
+    return [find(i) for i in range(len(lines))], joins
+
+
+def normal_lines(text):
+    raw = np.frombuffer((text or "").encode(), np.uint8)
+    buf, starts, ends = line_dedup.normalise(raw, np.array([0, len(raw)]))
+    whole = buf.tobytes()
+    return [whole[a:b] for a, b in zip(starts, ends) if b > a]
+
+
+def line_recall(df):
+    lines = list(dict.fromkeys(x for r in df.collect() for x in normal_lines(r.text)))
+    root, joins = line_classes(lines)
+    kept = [x for r in line_dedup.line_dedup(df).collect() for x in normal_lines(r.text)]
+    assert len(kept) == len(set(kept)) and joins > 50
+    assert {root[k] for k, x in enumerate(lines) if x in set(kept)} == set(root)  # every class keeps a line
+    return 1 - (len(kept) - len(set(root))) / joins
+
+
+def test_line_dedup_recall_documents(spark, sf):
+    """On whole documents: lines of all classes stay, and at least 0.98 of the joins of exact classes are found."""
+    assert line_recall(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")) >= 0.98
+
+
+def test_line_dedup_recall_dominant(spark):
+    """One class of 3000 near copies, and 150 pairs of lines that share most of their text with it."""
+    rng = np.random.default_rng(29)
+    word = lambda n=6: "".join(chr(97 + x) for x in rng.integers(0, 26, n))
+    base, lines = [word() for _ in range(24)], []
+    for _ in range(3000):
+        w = list(base)
+        w[int(rng.integers(0, 24))] = word(4)
+        lines.append(" ".join(w))
+    for _ in range(150):
+        tail = [word() for _ in range(9)]
+        lines += [" ".join([*base[:20], *tail, word(3)]) for _ in range(2)]
+    order = rng.permutation(len(lines))
+    df = spark.createDataFrame([(i, "\n".join(lines[k] for k in order[i * 30 : i * 30 + 30])) for i in range(len(lines) // 30)], "doc_id long, text string")
+    assert line_recall(df) >= 0.98
+
+
+def test_line_dedup_slices(monkeypatch):
+    """Lines that meet in one band are linked as brute force links them, whether their pairs are listed or met by pivots."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(31)
+    word = lambda n: "".join(chr(97 + x) for x in rng.integers(0, 26, n))
+    frame = " ".join(word(6) for _ in range(20))
+    lines = [f"{frame} {word(int(rng.integers(3, 40)))}" for _ in range(120)] + ["short", "tiny"]
+    raw = np.frombuffer("\n".join(lines).encode(), np.uint8)
+    keys = line_dedup.signatures(*line_dedup.normalise(raw, np.array([0, len(raw)]))).view(np.int64)
+    keys[:, 3] = 7
+    sets = [line_dedup.shingles(x) for x in lines]
+    maps = line_dedup.parity(sets)
+    table = {"band": [7] * len(lines), "slice": [0] * len(lines), "node": list(range(len(lines))), "n": [len(x) for x in sets], "bands": keys.tolist(), "t": lines}
+    table = pa.table(table | {f"m{i}": maps[:, i] for i in range(line_dedup.MAPS)})
+    want = set()
+    for a, b in itertools.combinations(range(len(lines)), 2):
+        if not (keys[a, :3] == keys[b, :3]).any() and line_dedup.similar(sets[a], sets[b]):
+            want.add((a, b))
+    groups = []
+    for most in (200, 5):
+        monkeypatch.setattr(line_dedup, "LISTED", most)
+        us, vs = line_dedup._Met(table).links()
+        assert set(zip(us, vs)) <= want
+        groups.append(forest(np.array(us), np.array(vs)))
+    full = forest(*np.array(sorted(want)).T)
+    assert len(full[0]) > 10
+    for g in groups:
+        assert dict(zip(*map(np.ndarray.tolist, g))) == dict(zip(*map(np.ndarray.tolist, full)))
+
+
 def test_line_dedup_odd(spark, odd, empty):
     got = line_dedup.line_dedup(odd).collect()
     assert len(got) == 14 and got[0].__fields__[:2] == ["n_lines", "n_dropped"]
@@ -284,6 +377,25 @@ def test_quality_held_out(spark, sf):
     assert sum(r.predicted == r.quality for r in got) >= 0.95 * len(got)
 
 
+def test_quality_marginals():
+    """Forward-backward against the sum over all label sequences."""
+    rng = np.random.default_rng(2)
+    lengths = [1, 2, 5, 7]
+    rows = np.repeat(np.arange(4), lengths)
+    unary, trans = rng.normal(0, 1.5, len(rows)), rng.normal(0, 1, (2, 2))
+    p, expected, _ = quality.marginals(unary, rows, trans)
+    want, pairs = np.zeros(len(rows)), np.zeros((2, 2))
+    for r in range(4):
+        at = np.flatnonzero(rows == r)
+        every = list(itertools.product((0, 1), repeat=len(at)))
+        weight = np.array([np.exp(sum(unary[i] * y for i, y in zip(at, ys)) + sum(trans[a, b] for a, b in itertools.pairwise(ys))) for ys in every])
+        for ys, w in zip(every, weight / weight.sum()):
+            want[at] += w * np.array(ys)
+            for a, b in itertools.pairwise(ys):
+                pairs[a, b] += w
+    assert np.allclose(p, want) and np.allclose(expected, pairs)
+
+
 def test_quality_odd(spark, odd, empty):
     labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (10, 0, 0), (None, 1, 0), (5, None, 0)], "doc_id long, quality int, toxic int")
     got = quality.classify(odd, labels).collect()
@@ -473,7 +585,7 @@ def test_viterbi(tmp_path):
     """A unigram model over a tiny vocabulary against all segmentations."""
     m = object.__new__(sentencepiece_trie.Model)
     vocab = {"a": -3.0, "b": -3.1, "c": -3.3, "ab": -4.0, "bc": -3.9, "abc": -7.0, "ca": -4.2, "▁": -2.0, "▁a": -3.5}
-    m.pieces, m.scores, m.kind, m.valid = list(vocab), list(vocab.values()), sentencepiece_trie.UNIGRAM, {}
+    m.pieces, m.scores, m.kind, m.valid, m.unk_score = list(vocab), list(vocab.values()), sentencepiece_trie.UNIGRAM, {}, -100.0
     m.ids = {p: i for i, p in enumerate(vocab)}
 
     def best(w):
@@ -486,6 +598,66 @@ def test_viterbi(tmp_path):
         assert "".join(m.pieces[i] for i in ids) == w and sum(m.scores[i] for i in ids) == pytest.approx(best(w))
 
 
+def unigram_file(path, fallback):
+    """The public vocabulary as the file of a unigram model whose scores are the negative ranks, with or without byte fallback."""
+    def varint(n):
+        return bytes([n]) if n < 128 else bytes([n & 127 | 128]) + varint(n >> 7)
+
+    out = b""
+    for field, value in sentencepiece_trie._fields(sentencepiece_trie.read(sentencepiece_trie.MODEL)):
+        if field == 1:
+            piece = dict(sentencepiece_trie._fields(value))
+            if not fallback and piece.get(3) == sentencepiece_trie.BYTE:
+                continue
+            if 2 in piece:  # the score, but no -1e9, beside which single precision tells no ranks apart
+                value += b"\x15" + np.maximum(np.frombuffer(piece[2], "<f4"), np.float32(-40_000)).tobytes()
+        if field == 2:  # the last value of a field counts: model_type, byte_fallback
+            value += b"\x18\x01" + b"\x98\x02" + bytes([fallback])
+        out += bytes([field << 3 | 2]) + varint(len(value)) + value
+    path.write_bytes(out)
+    return str(path)
+
+
+@pytest.mark.parametrize("fallback", [0, 1])
+def test_unigram(spark, sf, tmp_path, fallback):
+    """Viterbi over a whole vocabulary, characters without a piece included, against the public library. Texts are short: the library adds
+    up scores in single precision, which is exact for these whole numbers below 2^24 only."""
+    import sentencepiece
+
+    path = unigram_file(tmp_path / "unigram.model", fallback)
+    lib = sentencepiece.SentencePieceProcessor(model_file=path)
+    extra = ["a  b", "日本語 テキスト 🙂🙂 x🙂y <s>", " " * 40, "a" * 300, "", "ünïcödé ﬁ 龘龘龘龘", "\n\n x"]
+    some = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").limit(60).collect()]
+    rows = list(enumerate(extra + [t[k : k + 300] for t in some for k in range(0, min(len(t), 3000), 300)]))
+    got = sentencepiece_trie.encode(spark.createDataFrame(rows, "doc_id long, text string"), path).collect()
+    for r, (_, t) in zip(got, rows):
+        assert r.token_ids == lib.encode(t or "")
+
+
+def test_long_runs_of_blanks():
+    """Runs that no word ends are merged in n log n, to what the public library gives."""
+    import time
+
+    import sentencepiece
+
+    lib = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_trie.MODEL)
+    m = sentencepiece_trie.Model(sentencepiece_trie.read(sentencepiece_trie.MODEL))
+    for n in (1, 2, 17, 33, 250):
+        text = f"x{' ' * n}y"
+        words = sentencepiece_trie.WORD.findall(m.marked(text))
+        assert [i for w in words for i in m.encode_words({w})[w]] == lib.encode(text)
+    began = time.time()
+    m.merge(sentencepiece_trie.MARK * 200_000)
+    assert time.time() - began < 20
+
+
+def test_tokens_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a b", 7, "x", None)], "doc_id long, text string, n_tokens int, token_ids string, round_trip string")
+    got = sentencepiece_trie.encode(df)
+    assert got.columns == ["doc_id", "n_tokens", "token_ids", "round_trip"] and got.first().round_trip
+    assert sentencepiece_trie.decode(got.withColumn("text", F.lit("old"))).first().text == "a b"
+
+
 # -- pipeline
 
 
