@@ -53,18 +53,19 @@ ATTRIBUTE = re.compile(
 )
 TAG = re.compile(rf"""<(/?)([a-zA-Z][^ \t\n\r\f/>]*+)((?:[ \t\n\r\f/]++|{re.sub(r"\((?=\[)", "(?:", ATTRIBUTE.pattern)})*+)>""")
 COMMENT = re.compile(r"<!--(?:-?>|.*?--!?>)", re.S)
-HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
-NONE, HIDDEN, VISIBLE = (re.compile(x, re.I) for x in (r"display\s*:\s*none", r"visibility\s*:\s*(?:hidden|collapse)", r"visibility\s*:\s*visible"))
-RULE = re.compile(r"([^{}]*)\{([^{}]*)\}")
-SIMPLE = re.compile(r"([a-zA-Z][\w-]*)?([.#][\w-]+)?\Z")
+#: A selector of one element: a tag name or *, then classes and ids.
+SIMPLE = re.compile(r"(\*|[a-zA-Z][\w-]*)?((?:[.#][\w-]+)*)\Z")
+#: At-rules whose rules count as if they stood outside; those of @media only if it is for the screen.
+GROUPS = _set("media supports layer container scope starting-style")
+OTHER_MEDIA = _set("print speech aural braille embossed handheld projection tty tv")
 WHITE = " \t\n\r\f"
 
 
 class Node:
-    __slots__ = ("above", "attributes", "children", "name", "state")
+    __slots__ = ("above", "attributes", "children", "look", "name", "state")
 
     def __init__(self, name: str, attributes: dict[str, str], above: Node | None = None):
-        self.name, self.attributes, self.children, self.above, self.state = name, attributes, [], above, None
+        self.name, self.attributes, self.children, self.above, self.state, self.look = name, attributes, [], above, None, None
 
 
 class Stack(list):
@@ -100,8 +101,8 @@ class Stack(list):
             into[-1].children.append(x)
 
 
-def parse(source: str) -> tuple[Node, list[tuple[str, str, str]]]:
-    """Tree of a page, and its style sheets' simple selectors (tag, . or # name, declarations) that hide something."""
+def parse(source: str) -> tuple[Node, list[tuple]]:
+    """Tree of a page, and the rules of its style sheets about display and visibility."""
     root = Node("html", {})
     stack, css, at, end = Stack(root), [], 0, len(source)
     while at < end:
@@ -148,8 +149,8 @@ def parse(source: str) -> tuple[Node, list[tuple[str, str, str]]]:
             stop = re.compile(rf"</{name}(?=[\s/>])", re.I).search(source, at)
             body = source[at : stop.start() if stop else end]
             at = stop.start() if stop else end
-            if name == "style":
-                css += _hiding(body)
+            if name == "style" and _on_screen(attributes.get("media", "")):
+                css += rules(body)
             node.children.append(html.unescape(body) if name == "textarea" else body)
         stack.push(node)
     return root, css
@@ -194,14 +195,56 @@ def _imply(stack: Stack, name: str) -> None:
         stack.cut(len(stack) - 1)
 
 
-def _hiding(css: str) -> list[tuple[str, str, str]]:
-    out = []
-    for m in RULE.finditer(re.sub(r"/\*.*?\*/", "", css, flags=re.S)):
-        if HIDING.search(m[2]):
-            for part in m[1].split(","):
-                s = SIMPLE.match(part.strip())
-                if s and (s[1] or s[2]):
-                    out.append(((s[1] or "").lower(), s[2] or "", m[2]))
+def declared(text: str) -> dict[str, tuple[bool, str]]:
+    """display and visibility of a list of declarations: whether important, and the value. Later ones win, important ones always."""
+    out: dict[str, tuple[bool, str]] = {}
+    for part in text.split(";"):
+        name, colon, value = part.partition(":")
+        name, value = name.strip().lower(), value.strip().lower()
+        if colon and name in ("display", "visibility"):
+            value, mark, _ = value.partition("!")
+            important = bool(mark) and part.lower().rstrip().endswith("important")
+            if important >= out.get(name, (False, ""))[0]:
+                out[name] = (important, value.strip())
+    return out
+
+
+def _on_screen(query: str) -> bool:
+    """Whether a media query list holds on some screen; conditions about sizes and the like are taken to hold."""
+    for part in query.lower().split(","):
+        words = re.sub(r"\([^)]*\)", " ", part).split()
+        kinds = [w for w in words if w not in ("only", "not", "and", "or")]
+        refused = bool(words) and words[0] == "not"
+        kind = kinds[0] if kinds else "all"
+        if not kinds or (kind not in OTHER_MEDIA) != refused:
+            return True
+    return False
+
+
+def rules(css: str) -> list[tuple[str, tuple[str, ...], int, dict[str, tuple[bool, str]]]]:
+    """Of a style sheet the rules with simple selectors about display or visibility: tag (or empty), classes and ids, specificity,
+    declarations; in their order. Groups such as @media are entered if they are for the screen, other at-rules left out."""
+    css, out, at, depth_skipped = re.sub(r"/\*.*?(?:\*/|\Z)", " ", css, flags=re.S), [], 0, 0
+    for m in re.finditer(r"[{};]", css):
+        head, at = css[at : m.start()].strip(), m.end()
+        if depth_skipped:  # inside an at-rule that doesn't count
+            depth_skipped += {"{": 1, "}": -1}.get(m[0], 0)
+        elif m[0] == "{":
+            if head.startswith("@"):
+                name = re.match(r"@([\w-]*)", head)[1].lower()
+                query = head[1 + len(name) :]
+                no = name not in GROUPS or name == "media" and not _on_screen(query) or name == "supports" and query.strip().lower().startswith("not")
+                depth_skipped = int(no)
+            else:
+                end = css.find("}", m.end())
+                body = declared(css[m.end() : end if end >= 0 else len(css)])
+                for part in head.split(",") if body else ():
+                    s = SIMPLE.match(part.strip())
+                    if s and part.strip():
+                        names = tuple(re.findall(r"[.#][\w-]+", s[2]))
+                        tag = "" if s[1] in (None, "*") else s[1].lower()
+                        ids = sum(n[0] == "#" for n in names)
+                        out.append((tag, names, ids * 1_000_000 + (len(names) - ids) * 1000 + bool(tag), body))
     return out
 
 
@@ -260,19 +303,31 @@ class Page:
 
 
 class Renderer:
-    def __init__(self, css: list[tuple[str, str, str]]):
+    def __init__(self, css: list[tuple]):
         self.css = css
 
-    def style(self, node: Node) -> str:
-        out = []
-        for tag, name, text in self.css:
-            if (not tag or tag == node.name) and (
-                not name
-                or name[0] == "#" and node.attributes.get("id") == name[1:]
-                or name[0] == "." and name[1:] in node.attributes.get("class", "").split()
-            ):
-                out.append(text)
-        return ";".join([*out, node.attributes.get("style", "")])
+    def look(self, node: Node) -> tuple[str | None, str | None]:
+        """display and visibility as declared for an element: important ones win, then its own style, then specificity, then order."""
+        if node.look is None:
+            best: dict[str, tuple] = {}
+            if self.css:
+                have = {"." + c for c in node.attributes.get("class", "").split()}
+                if "id" in node.attributes:
+                    have.add("#" + node.attributes["id"])
+                for place, (tag, names, weight, body) in enumerate(self.css):
+                    if (not tag or tag == node.name) and all(n in have for n in names):
+                        for p, (important, value) in body.items():
+                            best[p] = max(best.get(p, ()), (important, False, weight, place, value))
+            if "style" in node.attributes:
+                for p, (important, value) in declared(node.attributes["style"]).items():
+                    best[p] = max(best.get(p, ()), (important, True, 0, 0, value))
+            node.look = tuple(best[p][-1] if p in best else None for p in ("display", "visibility"))
+        return node.look
+
+    def shown(self, node: Node, seen: bool | None) -> bool | None:
+        """Visibility of an element within one that is seen or not."""
+        v = self.look(node)[1]
+        return True if v == "visible" else False if v in ("hidden", "collapse") else seen
 
     def inherited(self, node: Node | None) -> tuple[bool, bool | None]:
         """Whether an element beyond DEEPEST or one of those above it there is gone or shut, and its visibility if they set it."""
@@ -282,8 +337,7 @@ class Renderer:
             node = node.above
         state = node.state if node is not None else (False, None)
         for x in reversed(todo):
-            style = self.style(x)
-            seen = True if VISIBLE.search(style) else False if HIDDEN.search(style) else state[1]
+            seen = self.shown(x, state[1])
             up = x.above
             shut = up is not None and "open" not in up.attributes and (up.name == "dialog" or up.name == "details" and x.name != "summary")
             state = x.state = (state[0] or shut or self.hidden(x), seen)
@@ -293,7 +347,10 @@ class Renderer:
         return self.hidden(node) or node.above is not None and self.inherited(node)[0]
 
     def hidden(self, node: Node) -> bool:
-        return node.name in NEVER or "hidden" in node.attributes or bool(NONE.search(self.style(node)))
+        if node.name in NEVER:
+            return True
+        display = self.look(node)[0]
+        return "hidden" in node.attributes if display is None else display == "none"
 
     def lines(self, nodes: list, seen: bool, pre: bool = False) -> list[str]:
         page = Page()
@@ -318,11 +375,10 @@ class Renderer:
                 self.element(x, page, seen, pre)
 
     def element(self, x: Node, page: Page, seen: bool, pre: bool) -> None:
-        name, style = x.name, self.style(x)
+        name = x.name
         if x.above is not None and (above := self.inherited(x)[1]) is not None:
             seen = above
-        if style:
-            seen = VISIBLE.search(style) is not None or seen and not HIDDEN.search(style)
+        seen = self.shown(x, seen)
         if name == "br":
             page.newline()
         elif name == "input":
@@ -388,8 +444,7 @@ class Renderer:
         page, place = Page(), _number(x.attributes.get("start"), 1)
         for c in x.children:
             if isinstance(c, Node) and c.name == "li" and not self.gone(c):
-                style = self.style(c)
-                shown = VISIBLE.search(style) is not None or seen and not HIDDEN.search(style)
+                shown = self.shown(c, seen)
                 place = _number(c.attributes.get("value"), place)
                 sign = f"{place}. " if x.name == "ol" else "- "
                 place += 1
@@ -453,9 +508,7 @@ class Renderer:
                     at += 1
                 wide = min(max(_number(c.attributes.get("colspan"), 1), 1), 1000)
                 tall = min(max(_number(c.attributes.get("rowspan"), 1), 1), 65534)
-                style = self.style(c)
-                shown = VISIBLE.search(style) is not None or seen and not HIDDEN.search(style)
-                line.append((at, wide, self.lines(c.children, shown)))
+                line.append((at, wide, self.lines(c.children, self.shown(c, seen))))
                 for k in range(at, at + wide):
                     held[k] = tall
                 at += wide
@@ -510,7 +563,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -
 
     Blocks stand on lines of their own, with a blank line around paragraphs, headings, lists, tables and the like; list items get
     bullets or numbers, table cells aligned columns. Scripts, styles, head, hidden elements (hidden attribute, display:none,
-    visibility:hidden, also by simple style-sheet selectors), closed details and templates are left out. Missing end tags are implied
+    visibility:hidden; style sheets count where a selector names one element by tag, classes and ids, in the cascade's order, for the
+    screen), closed details and templates are left out. Missing end tags are implied
     as in HTML. Null pages give a null text with 0 characters, empty ones an empty text; repeated pages come back each.
     """
 

@@ -18,7 +18,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(table(spark, sf_dir, "documents"))
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), key="key")
 
 
 def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -483,6 +483,27 @@ def test_html_tokenizer(page, text):
     assert html_text.render(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<p>one <a href=foo">two</a> three <b>four</b>', "one two three four"),
+        ("<a title=don't href=x>hello</a> world", "hello world"),
+        ("<style>@media print{.nav{display:none}}</style><p class=nav>yes", "yes"),
+        ("<style>@media screen and (min-width:9px){.nav{display:none}} .x{display:none}</style><p class=nav>no<p class=x>no<p>yes", "yes"),
+        ("<style>@font-face{src:x} @media print{p{display:none} .q{display:none}} /* .y{display:none} */ i{display:none}</style><p class=y>yes<i>no</i>", "yes"),
+        ("<style media=print>p{display:none}</style><p>yes", "yes"),
+        ("<style>.h{display:none}</style><p class=h style='display:block'>yes", "yes"),
+        ("<style>.h{display:none!important}</style><p class=h style='display:block'>no</p>yes", "yes"),
+        ("<style>#a{display:block} p.h.k{display:none}</style><p id=a class='h k'>yes<p class='k h'>no", "yes"),
+        ("<style>p{display:none} p{display:block} p i{display:none} a>b, u{display:none}</style><p>y<i>e</i>s<u>no</u>", "yes"),
+        ("<p hidden style='display:block'>yes<p hidden>no", "yes"),
+        ("<div>" * 250 + "<b hidden>no</b>yes", "yes"),
+    ],
+)
+def test_html_cascade(page, text):
+    assert html_text.render(page) == text
+
+
 def test_html_odd(spark, sf):
     deep = "<div>" * 4000 + "x" + "</div>" * 4000
     df = spark.createDataFrame([(1, None, "u"), (2, "", "u"), (2, "", "u"), (3, deep, "u"), (None, "<p>" * 5000 + "y", "u"), (4, "<" * 20000, "u")], "page_id long, html string, text string")
@@ -490,7 +511,7 @@ def test_html_odd(spark, sf):
     assert got[1] is None and got[2] == "" and got[3] == "x" and got[None] == "y" and len(got[4]) == 20000
     assert html_text.extract(df.limit(0)).count() == 0
     words = {r.page_id: r for r in html_text.extract(spark.read.parquet(f"{sf}/pages.parquet")).collect()}
-    for p in spark.read.parquet(f"{sf}/pages.parquet").limit(50).collect():  # all text outside of tags that never show
+    for p in spark.read.parquet(f"{sf}/pages.parquet").collect():  # all text outside of tags that never show
         body = re.sub(r"(?s)<(script|style|title)\b.*?</\1>|<!--.*?-->|<[^>]*>", " ", p.html)
         import html
 
@@ -512,7 +533,7 @@ def test_pii(spark, odd, empty):
         'token = "b44e15e09fd311c3cf3163b66d5a9875b883d8ce"',
     ]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = [r for r in pii.pseudonymise(df).orderBy("doc_id").collect()]
+    got = [r for r in pii.pseudonymise(df, 'key').orderBy("doc_id").collect()]
     assert [r.n_found for r in got] == [4, 6, 0, 1] and got[2].text == texts[2]
     a, b = got[0].text, got[1].text
     form = lambda t: re.sub("[a-z0-9]", "9", re.sub(r"([0-9]+\.){3}[0-9]+", "ip", t))
@@ -526,17 +547,19 @@ def test_pii(spark, odd, empty):
     assert iso.split("-") == de.split("/")[::-1]
     assert re.search('"[0-9a-f]{40}"', got[3].text) and got[3].text != texts[3]
     assert pii.pseudonymise(df, key="other").orderBy("doc_id").first().text != a
-    assert [r.text for r in pii.pseudonymise(odd).collect()] == [r[1] for r in odd_rows()] and pii.pseudonymise(empty).count() == 0
+    assert [r.text for r in pii.pseudonymise(odd, 'key').collect()] == [r[1] for r in odd_rows()] and pii.pseudonymise(empty, 'key').count() == 0
 
 
 def test_pii_parts(spark):
     """Valid numbers before further groups or words, and dates with the month first."""
     card, iban = "4111 1111 1111 1111", "ES9121000418450200051332"
     texts = [f"{card} 12/25", f"{card} 123", f"{card} 12 25", f"{iban} USD", "ES91 2100 0418 4502 0005 1332 PAID", f"{iban} {card}", "XX82 1234 5678 9012 3456 PAID", "12/25/2020", "13/13/2020", "+49 30 1234 5678 9999 9999"]
+    inside = pii.pseudonymise(spark.createDataFrame([(1, f"in 2024 {card} 12 25")], "doc_id long, text string"), "key").first()
+    assert inside.n_found == 1 and re.fullmatch(r"in 2024 [0-9 ]{19} 12 25", inside.text) and card not in inside.text
     valid = next(f"XX{k:02d} 1234 5678 9012 3456" for k in range(2, 99) if int(f"12345678901234563333{k:02d}") % 97 == 1)
     texts[6] = f"{valid} PAID"
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = pii.pseudonymise(df).orderBy("doc_id").collect()
+    got = pii.pseudonymise(df, 'key').orderBy("doc_id").collect()
     assert [r.n_found for r in got] == [1, 1, 1, 1, 1, 2, 1, 1, 0, 1]
     for r, tail in zip(got[:3], (" 12/25", " 123", " 12 25")):
         assert r.text.endswith(tail) and card not in r.text and luhn(r.text[:19].replace(" ", ""))
@@ -561,6 +584,30 @@ def test_pii_permutes(spark):
     assert got.distinct().count() == got.count() and got.where(F.try_to_date("o", "yyyy-MM-dd").isNull()).isEmpty()
 
 
+def test_pii_one_to_one(spark):
+    """Different valid values get different valid pseudonyms, of the same kind."""
+    rng = np.random.default_rng(13)
+    ssn = {f"{a:03d}-{g:02d}-{n:04d}" for a, g, n in zip(rng.integers(1, 900, 20000), rng.integers(1, 100, 20000), rng.integers(1, 10000, 20000)) if a != 666}
+    hexes = {"".join("0123456789abcdef"[x] for x in rng.integers(0, 16, 32)) for _ in range(300)}
+    hexes |= {x.upper() for x in hexes} | {x[:16] + x[16:].upper() for x in hexes} | {x[:16].upper() + x[16:] for x in hexes}
+    mails = {f"{c}@x.org" for c in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"}
+    values = sorted(ssn) + sorted(hexes) + sorted(mails)
+    got = pii.pseudonymise(spark.createDataFrame(list(enumerate(values)), "doc_id long, text string").repartition(4), "key").orderBy("doc_id").collect()
+    out = [r.text for r in got]
+    assert len(set(out)) == len(out) and all(r.n_found for r, v in zip(got, values) if "-" in v)
+    assert all(re.fullmatch(r"(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}", o) for o, v in zip(out, values) if v in ssn)
+    cases = lambda x: (bool(re.search("[a-f]", x)), bool(re.search("[A-F]", x)))
+    assert all(cases(o) == cases(v) and len(o) == 32 for o, v in zip(out, values) if v in hexes)
+    assert {o for o, v in zip(out, values) if v in mails} == mails and sum(o != v for o, v in zip(out, values) if v in mails) > 50
+
+
+def test_pii_long_text(spark):
+    """A very long text with very many values."""
+    text = " ".join(f"row {i} 4111 1111 1111 1111 and 10.0.{i % 256}.{i // 256}" for i in range(4000))
+    got = pii.pseudonymise(spark.createDataFrame([(1, text)], "doc_id long, text string"), "key").first()
+    assert got.n_found == 8000 and "4111 1111 1111 1111" not in got.text and len(got.text.split()) == len(text.split())
+
+
 # -- 10 tokens
 
 
