@@ -410,6 +410,7 @@ def test_quality_odd(spark, odd, empty):
 def test_top_k_shards(spark, monkeypatch):
     monkeypatch.setattr(ball_tree, "SHARD", 70)
     monkeypatch.setattr(ball_tree, "BLOCK", 10)
+    monkeypatch.setattr(ball_tree, "LEAF", 8)
     rng = np.random.default_rng(5)
     rows = [(i, [float(np.float32(x)) for x in rng.normal(0, 0.3, 8)]) for i in range(400)] + [(400 + i, [0.25] * 8) for i in range(60)]
     rows += [(900, None), (920, [0.1, None] * 4), (940, [float("nan")] * 8), (960, [float("inf")] * 8), (None, [1.0] * 8), (980, [0.5, 0.5]), (1000, [0.25, 1.0]), (20, rows[20][1])]
@@ -425,6 +426,37 @@ def test_top_k_shards(spark, monkeypatch):
     assert ball_tree.top_k(df.limit(0)).count() == 0
 
 
+def test_top_k_tree(monkeypatch):
+    """A block of queries through a tree of many small leaves, with floors, ties and own rows, against all scores."""
+    monkeypatch.setattr(ball_tree, "LEAF", 4)
+    rng = np.random.default_rng(23)
+    x = np.floor(rng.normal(0, 4, (300, 3)))
+    ids = rng.permutation(300)
+    tree = ball_tree.BallTree(x, ids)
+    q, own = x[:40], ids[:40]
+    scores = q @ x.T
+    for floor in (np.full(40, -np.inf), np.sort(scores, axis=1)[:, -30]):
+        s, n = tree.search(q, own, 7, floor)
+        for r in range(40):
+            want = sorted((-scores[r, c], ids[c]) for c in range(300) if ids[c] != own[r])[:7]
+            assert [(-a, b) for a, b in zip(s[r], n[r]) if a > -np.inf] == [w for w in want if -w[0] >= floor[r]]
+
+
+def test_top_k_odd(spark):
+    """Vectors of length 0, scores beyond 53 bits, scores beyond 63 bits, clashing columns."""
+    rows = [(i, [], 1, 2, "x") for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, query_id long, rank int, shard string")
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in ball_tree.top_k(df).collect())
+    assert got == sorted((q, k + 1, c, 0) for q in range(0, 600, 20) for k, c in enumerate([c for c in range(25) if c != q][:20]))
+    big = [(i, [float(i) * 2.0**18 + 0.5, 1.0]) for i in range(1, 60)]
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in ball_tree.top_k(spark.createDataFrame(big, "vec_id long, embedding array<double>")).collect())
+    v = {i: [int(64 * a) for a in x] for i, x in big}
+    want = [(q, k + 1, c, -s) for q in (20, 40) for k, (s, c) in enumerate(sorted((-sum(a * b for a, b in zip(v[q], v[c])), c) for c in v if c != q)[:20])]
+    assert got == want
+    with pytest.raises(ValueError):
+        ball_tree.top_k(spark.createDataFrame([(20, [2.0**40]), (1, [1.0])], "vec_id long, embedding array<double>"))
+
+
 def test_top_k_shared_ids(spark, monkeypatch):
     """Rows that share an id but not a vector are all candidates."""
     monkeypatch.setattr(ball_tree, "SHARD", 30)
