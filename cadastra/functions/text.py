@@ -143,10 +143,13 @@ def redacted(c: Column | str) -> Column:
     return F.regexp_replace(col(c), r"(?<![0-9])[0-9]{3}\.?[0-9]{3}\.?[0-9]{3}-?[0-9]{2}(?![0-9])", "***")
 
 
-def company_id(c: Column | str, root_allowed: bool = False) -> Column:
-    """A 14-digit company number with valid check digits (modulo 11), padded from 9 to 13 digits; an 8-digit root where allowed."""
+def company_id(c: Column | str, only_companies: bool = False) -> Column:
+    """A 14-digit company number with valid check digits (modulo 11), not all zeros. In a column that holds company numbers only, numbers of
+    9 to 13 digits get their lost leading zeros back and 8 digits are a root; elsewhere shorter numbers may be person numbers."""
     d = digits(c)
-    padded = F.when(F.length(d).between(9, 14), F.lpad(d, 14, "0"))
+    padded = F.when(F.length(d) == 14, d)
+    if only_companies:
+        padded = F.when(F.length(d).between(9, 14), F.lpad(d, 14, "0"))
 
     def check(text: Column, weights: list[int]) -> Column:
         total = sum((F.substring(text, i + 1, 1).cast("int") * w for i, w in enumerate(weights)), F.lit(0))
@@ -154,8 +157,8 @@ def company_id(c: Column | str, root_allowed: bool = False) -> Column:
 
     first = [5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2]
     ok = (check(padded, first) == F.substring(padded, 13, 1).cast("int")) & (check(padded, [6, *first]) == F.substring(padded, 14, 1).cast("int"))
-    out = F.when(ok, padded)
-    return F.when(F.length(d) == 8, d).otherwise(out) if root_allowed else out
+    out = F.when(ok & (padded != "0" * 14), padded)
+    return F.when(F.length(d) == 8, d).otherwise(out) if only_companies else out
 
 
 def category(c: Column | str, rules: list[tuple[str, str]] = CATEGORIES) -> Column:
@@ -190,6 +193,11 @@ def similarity(a: Column | str, b: Column | str) -> Column:
     return set_similarity(trigrams(a), trigrams(b))
 
 
+def best_similarity(left: list[Column | str], right: list[Column | str]) -> Column:
+    """The highest similarity of any of some names with any of others; 0 where none can be compared."""
+    return F.greatest(F.lit(0.0).cast("float"), *(F.coalesce(similarity(a, b), F.lit(0.0).cast("float")) for a in left for b in right))
+
+
 def header(name: str) -> str:
     """A file's column name as upper-case ASCII letters, digits and underscores."""
     import re

@@ -5,33 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .relational import or_empty
+from .relational import dimension, or_empty
 
 
 def list_rollup(entries: DataFrame, firms: DataFrame, specs: DataFrame) -> DataFrame:
     """key, list, via, n, value, last, labels (first five distinct, joined). entries(list, cnpj, root, date, value, label), firms(key, root),
-    specs(list, level, rule): lists of establishments join by full number, of companies by root, each by its own equi-join. value is the
-    sum, mean or last period's sum by the list's rule, null for `nenhum`."""
-    e = entries.join(F.broadcast(specs), "list")
-    by_id = e.where("level = 'establishment'").join(firms.select("key"), F.col("cnpj") == F.col("key"))
-    by_root = e.where("level = 'company'").join(firms, "root")
-    cols = ["key", "list", "rule", "cnpj", "date", "value", "label"]
-    x = by_id.select(*cols).unionAll(by_root.select(*cols))
-    last = x.groupBy("key", "list").agg(F.max("date").alias("last"))
-    x = x.join(last, ["key", "list"])
-    g = x.groupBy("key", "list", "rule", "last").agg(
-        F.bool_or(F.col("cnpj") == F.col("key")).alias("exact"),
-        F.count(F.lit(1)).alias("n"),
-        F.sum("value").alias("total"),
-        F.avg("value").alias("mean"),
-        F.sum(F.when(F.col("date").eqNullSafe(F.col("last")), F.col("value"))).alias("recent"),
-        F.collect_set("label").alias("labels"),
+    specs(list, level, rule): lists of establishments join by full number, of companies by root. value is the sum, mean or last period's
+    sum by the list's rule, null for `nenhum`.
+
+    Entries are summed by (list, number or root, date) and their labels made distinct before they meet firms, so what fans out is one row
+    per list and root, not one per entry."""
+    e = entries.join(dimension(specs), "list").withColumn("by", F.when(F.col("level") == "establishment", F.col("cnpj").cast("string")).otherwise(F.col("root").cast("string")))
+    day = e.groupBy("list", "level", "rule", "by", "date").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("value").alias("s"), F.count("value").alias("c"), F.collect_set("label").alias("labels")
     )
-    value = F.when(F.col("rule") == "soma", F.col("total")).when(F.col("rule") == "media", F.col("mean")).when(F.col("rule") == "ultimo", F.col("recent"))
-    return g.select(
-        "key", "list", F.when(F.col("exact"), "cnpj").otherwise("raiz").alias("via"), "n", value.alias("value"), "last",
-        F.array_join(F.slice(F.array_sort("labels"), 1, 5), "|").alias("labels"),
+    g = day.groupBy("list", "level", "rule", "by").agg(
+        F.sum("n").alias("n"), F.sum("s").alias("total"), F.sum("c").alias("c"), F.max(F.struct("date", "s")).alias("m"),
+        F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.slice(F.array_sort("labels"), 1, 5))))), 1, 5).alias("labels"),
     )
+    value = F.when(F.col("rule") == "soma", F.col("total")).when(F.col("rule") == "media", F.col("total") / F.nullif(F.col("c"), F.lit(0)))
+    value = value.when((F.col("rule") == "ultimo") & F.col("m.date").isNotNull(), F.col("m.s"))
+    g = g.select("list", "level", "by", "n", value.alias("value"), F.col("m.date").alias("last"), F.array_join("labels", "|").alias("labels"))
+    out = ["key", "list", "via", "n", "value", "last", "labels"]
+    f = firms.select("key", F.col("key").cast("string").alias("k"), F.col("root").cast("string").alias("r"))
+    direct = g.where("level = 'establishment'").join(f, F.col("by") == F.col("k")).withColumn("via", F.lit("cnpj"))
+    roots = g.where("level = 'company'").join(f, F.col("by") == F.col("r"))
+    # of lists by root, the companies that an entry names themselves
+    named = e.where("level = 'company'").select("list", F.col("cnpj").cast("string").alias("k")).where("k is not null").distinct().withColumn("named", F.lit(True))
+    roots = roots.join(named, ["list", "k"], "left").withColumn("via", F.when(F.col("named"), "cnpj").otherwise("raiz"))
+    return direct.select(*out).unionAll(roots.select(*out))
 
 
 def contracts_rollup(items: DataFrame, key: str, contract: str, value: str, day: str, as_of: str) -> DataFrame:

@@ -20,6 +20,9 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="cadastra-")
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/step-{uuid.uuid4().hex}"
@@ -56,10 +59,14 @@ def unpivot(df: DataFrame, ids: Sequence[str], values: Sequence[str], key: str =
 
 
 def mutual_best(pairs: DataFrame, left: str, right: str, score: str) -> DataFrame:
-    """Pairs that are the best of both their sides (score, then the smaller id)."""
-    a = F.row_number().over(W.partitionBy(left).orderBy(F.col(score).desc(), F.col(right)))
-    b = F.row_number().over(W.partitionBy(right).orderBy(F.col(score).desc(), F.col(left)))
-    return pairs.withColumn("_a", a).withColumn("_b", b).where("_a = 1 and _b = 1").drop("_a", "_b")
+    """Pairs that are the best of both their sides (score, then the smaller id): a grouped minimum for each side, which combines before
+    it shuffles, and an equi-join of both."""
+    rest = [c for c in pairs.columns if c not in (left, right, score)]
+    worse = (-F.col(score)).alias("_w")
+    a = pairs.groupBy(left).agg(F.min(F.struct(worse, right, score, *rest)).alias("_a"))
+    b = pairs.groupBy(right).agg(F.min(F.struct(worse, left)).alias("_b")).select(F.col(right).alias("_r"), F.col(f"_b.{left}").alias("_l"))
+    both = a.join(b, (F.col(left) == F.col("_l")) & (F.col(f"_a.{right}") == F.col("_r")))
+    return both.select(*(F.col(c) if c == left else F.col(f"_a.{c}").alias(c) for c in pairs.columns))
 
 
 def candidates(left: DataFrame, right: DataFrame, keys: Sequence[Sequence[str]]) -> DataFrame:
@@ -91,8 +98,10 @@ def upsert(old: DataFrame, new: DataFrame, key: Sequence[str], version: str | No
 
 
 def insert_ignore(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
-    """old, and of new the rows whose key is not there yet."""
-    return old.unionByName(new.join(old.select(*key), list(key), "left_anti"))
+    """old, and of new the rows whose key is not there yet; of several new rows with one key the smallest."""
+    rest = [c for c in new.columns if c not in key]
+    one = new.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_r")).select(*key, *(F.col(f"_r.{c}").alias(c) for c in rest)) if rest else new.distinct()
+    return old.unionByName(one.join(old.select(*key), list(key), "left_anti"))
 
 
 def deciles(df: DataFrame, order: Sequence[Column], parts: int = 10) -> DataFrame:
@@ -103,18 +112,15 @@ def deciles(df: DataFrame, order: Sequence[Column], parts: int = 10) -> DataFram
 
 def running(df: DataFrame, order: Sequence[Column], value: Column) -> tuple[DataFrame, float]:
     """df with `before`, the sum of a value over all rows before it in a total order, and the whole sum. Rows are dealt by range and
-    written once; the driver gets one sum per partition, and each task adds up its own range."""
+    written once; each task adds up its own range, and the sums before it join in from a table of one row a range."""
     ranged = cut(df.withColumn("_value", value).repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
-    sums = sorted((r["_part"], r["s"]) for r in ranged.groupBy("_part").agg(F.sum("_value").alias("s")).collect())
-    offsets, total = [], 0
-    for part, s in sums:
-        offsets.append((part, total))
-        total += s
-    if not offsets:
-        return df.withColumn("before", F.lit(None).cast("long")), 0
-    base = F.element_at(F.create_map(*(F.lit(x) for pair in offsets for x in pair)), F.col("_part"))
+    sums = ranged.groupBy("_part").agg(F.sum("_value").alias("_s"))
+    first = F.sum("_s").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
+    base = cut(sums.select("_part", F.coalesce(first, F.lit(0)).alias("_base"), "_s"))
+    total = base.agg(F.sum("_s")).first()[0] or 0
     within = F.sum("_value").over(W.partitionBy("_part").orderBy(*order).rowsBetween(W.unboundedPreceding, -1))
-    return ranged.withColumn("before", base + F.coalesce(within, F.lit(0))).drop("_part", "_value"), total
+    placed = ranged.withColumn("before", F.coalesce(within, F.lit(0))).join(dimension(base.drop("_s")), "_part")
+    return placed.withColumn("before", F.col("_base") + F.col("before")).drop("_part", "_value", "_base"), total
 
 
 def places(df: DataFrame, order: Sequence[Column]) -> tuple[DataFrame, int]:

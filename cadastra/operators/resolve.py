@@ -16,14 +16,30 @@ LEVELS = [
 ]
 
 
-def fuzzy_pairs(left: DataFrame, right: DataFrame, block: str, threshold: float) -> DataFrame:
-    """left_id, right_id, sim of the pairs of a block whose names reach a trigram similarity. left(left_id, block, name), right alike.
-    Trigrams are made once per row, not per pair; sizes that can't reach the threshold never get compared."""
-    a = left.select("left_id", block, trigrams("name").alias("ta"))
-    b = right.select("right_id", block, trigrams("name").alias("tb"))
-    sizes = F.least(F.size("ta"), F.size("tb")) >= F.lit(threshold - 1e-6) * F.greatest(F.size("ta"), F.size("tb"))
+def fuzzy_pairs(left: DataFrame, right: DataFrame, block: str, threshold: float, ascending: bool = False) -> DataFrame:
+    """left_id, right_id, sim of the pairs of a block whose names reach a trigram similarity above 0; of a table with itself only those
+    with left_id < right_id (ascending). left(left_id, block, name), right alike.
+
+    Trigrams are made once per row. In one order of all trigrams (by hash) two sets that reach the threshold share one of their first
+    n - ceil(threshold n) + 1: rows meet by an equi-join on block and such a trigram, so a hot block never meets itself as a whole; a pair
+    comes out at the first trigram that both have there, and only if their sizes can reach the threshold."""
+    t = F.lit(threshold - 1e-6)
+
+    def side(df: DataFrame, name: str, x: str) -> DataFrame:
+        grams = F.transform(trigrams("name"), lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g")))
+        df = df.select(name, F.col(block).alias(f"b{x}"), F.array_sort(grams).alias(f"t{x}"))
+        prefix = F.slice(f"t{x}", F.lit(1), (F.size(f"t{x}") - F.ceil(t * F.size(f"t{x}")) + 1).cast("int"))
+        df = df.withColumn(f"p{x}", F.when(F.size(f"t{x}") > 0, prefix))
+        return df.withColumn(f"k{x}", F.explode(f"p{x}"))
+
+    a, b = side(left, "left_id", "a"), side(right, "right_id", "b")
+    sizes = F.least(F.size("ta"), F.size("tb")) >= t * F.greatest(F.size("ta"), F.size("tb"))
+    once = F.array_min(F.array_intersect("pa", "pb")) == F.col("ka")
+    on = (F.col("ba") == F.col("bb")) & (F.col("ka") == F.col("kb")) & sizes & once
+    if ascending:
+        on &= F.col("left_id") < F.col("right_id")
     sim = set_similarity(F.col("ta"), F.col("tb"))
-    return a.join(b, block).where(sizes).select("left_id", "right_id", sim.alias("sim")).where(F.col("sim") >= F.lit(threshold))
+    return a.join(b, on).select("left_id", "right_id", sim.alias("sim")).where(F.col("sim") >= F.lit(threshold))
 
 
 def permit_score(sim: Column, same_activity: Column, same_start: Column, same_number: Column) -> Column:
@@ -33,13 +49,18 @@ def permit_score(sim: Column, same_activity: Column, same_start: Column, same_nu
 
 
 def match_permits(permits: DataFrame, firms: DataFrame, accept: float = 0.5) -> DataFrame:
-    """permit, firm, score, method of mutually best pairs. permits(permit, cep, street, number, name, activity, start) and firms alike;
-    pairs share postal code and street, and number, activity or start: less can't reach the acceptance level."""
-    a = permits.withColumn("tp", trigrams("name"))
-    b = firms.select("firm", "cep", "street", *(F.col(c).alias(f"f_{c}") for c in ("number", "activity", "start")), trigrams("name").alias("tf"))
+    """permit, firm, score, method of mutually best pairs. permits(permit, cep, street, number, name, trade, activity, start) and firms
+    alike (name and trade name, of which the best pair counts; a missing trade column is null); pairs share postal code and street, and
+    number, activity or start: less can't reach the acceptance level."""
+    own = lambda df, c: trigrams(c) if c in df.columns else F.lit(None).cast("array<string>")
+    a = permits.withColumns({"tp": own(permits, "name"), "up": own(permits, "trade")})
+    b = firms.select(
+        "firm", "cep", "street", *(F.col(c).alias(f"f_{c}") for c in ("number", "activity", "start")), own(firms, "name").alias("tf"), own(firms, "trade").alias("uf")
+    )
     same = lambda c: F.coalesce(F.col(c) == F.col(f"f_{c}"), F.lit(False))
     x = a.join(b, ["cep", "street"]).where(same("number") | same("activity") | same("start"))
-    sim = F.coalesce(set_similarity(F.col("tp"), F.col("tf")), F.lit(0.0))
+    each = [F.when(F.col(p).isNotNull() & F.col(f).isNotNull(), set_similarity(F.col(p), F.col(f))) for p in ("tp", "up") for f in ("tf", "uf")]
+    sim = F.greatest(F.lit(0.0).cast("float"), *each)
     x = x.select("permit", "firm", permit_score(sim, same("activity"), same("start"), same("number")).alias("score"), F.when(same("number"), "mesmo_endereco").otherwise("mesma_rua").alias("method"))
     return mutual_best(x.where(F.col("score") >= accept), "permit", "firm", "score")
 

@@ -202,8 +202,7 @@ WHERE (len(list_intersect(a.g, b.g))::DOUBLE / (len(a.g) + len(b.g) - len(list_i
 def trigram_similarity(spark, d):
     p = t(spark, d, "part").withColumn("block", F.concat_ws("|", "p_brand", F.col("p_size").cast("string")))
     a = p.select(F.col("p_partkey").alias("left_id"), "block", F.col("p_name").alias("name"))
-    pairs = resolve.fuzzy_pairs(a, a.withColumnRenamed("left_id", "right_id"), "block", 0.6)
-    return pairs.where("left_id < right_id").withColumn("sim", F.col("sim").cast("double"))
+    return resolve.fuzzy_pairs(a, a.withColumnRenamed("left_id", "right_id"), "block", 0.6, ascending=True).withColumn("sim", F.col("sim").cast("double"))
 
 
 @register("""WITH l AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag = 'R'), p AS (SELECT DISTINCT l_partkey FROM lineitem WHERE l_returnflag = 'A')
@@ -580,7 +579,8 @@ parser("postal_code", text.postal_code, [("80.010-000", "80010000"), ("80010000"
 parser("activity_code", text.activity_code, [("4711-3/01", "4711301"), ("47113", None), (None, None)])
 parser("mask_cpf", lambda c: text.masked_person_id(text.person_id_in(c)), [("JOAO DA SILVA 12345678901", "***.456.789-**"), ("JOAO 123.456.789-01", "***.456.789-**"), ("MARIA 123456789012345", None), ("PADARIA LTDA", None), (None, None)])
 parser("redact_cpf", text.redacted, [("tel de 123.456.789-01 hoje", "tel de *** hoje"), ("x 123456789012", "x 123456789012"), (None, None)])
-parser("check_digits", text.company_id, [("11.222.333/0001-81", "11222333000181"), ("11222333000182", None), ("191", None), ("00000000000191", "00000000000191"), ("000000000191", "00000000000191"), ("11222333", None), (None, None)])
+parser("check_digits", text.company_id, [("11.222.333/0001-81", "11222333000181"), ("11222333000182", None), ("191", None), ("00000000000191", "00000000000191"), ("000000000191", None), ("123456000149", None), ("00.000.000/0000-00", None), ("11222333", None), (None, None)])
+parser("check_digits_padded", lambda c: text.company_id(c, only_companies=True), [("11.222.333/0001-81", "11222333000181"), ("000000000191", "00000000000191"), ("123456000149", "00123456000149"), ("00000000000000", None), ("000000000", None), ("11222333", "11222333"), ("1122233", None), ("11222333000182", None), (None, None)])
 parser("parse_compact_date", parse.compact_date, [("20230115", "2023-01-15"), ("20230231", None), ("00000000", None), ("2023011", None), ("abcdefgh", None), (None, None)], "DATE")
 parser("parse_dates", parse.any_date, [("05/05/2020", "2020-05-05"), ("2020-05-05 10:00", "2020-05-05"), ("20200505", "2020-05-05"), ("31/02/2020", None), ("x", None), (None, None)], "DATE")
 parser("parse_list_dates", parse.list_date, [("2021", "2021-01-01"), ("202103", "2021-03-01"), ("2021-03", "2021-03-01"), ("05/06/2021", "2021-06-05"), ("2021-13", None)], "DATE")
@@ -608,7 +608,7 @@ def publication_cut(spark, d):
 @register("""SELECT 'event_id' AS "column", count(event_id) AS filled, round(100.0 * count(event_id) / count(*), 1) AS percent FROM events UNION ALL
 SELECT 'value', count(value), round(100.0 * count(value) / count(*), 1) FROM events UNION ALL SELECT 'props', count(props), round(100.0 * count(props) / count(*), 1) FROM events""")
 def column_profile(spark, d):
-    return files.profile(t(spark, d, "events").select("event_id", "value", "props")).withColumn("percent", F.col("percent").cast("double"))
+    return files.profile(t(spark, d, "events").select("event_id", "value", "props")).drop("interest").withColumn("percent", F.col("percent").cast("double"))
 
 
 @register("""WITH o AS (SELECT c_custkey AS id, c_custkey % 5 AS rev, CASE WHEN c_custkey % 3 > 0 THEN c_name END AS name FROM customer WHERE c_custkey % 4 <> 0),
@@ -656,8 +656,10 @@ def unpivot_columns(spark, d):
 
 @register("""SELECT * FROM (SELECT c_custkey, c_acctbal FROM customer WHERE c_custkey % 2 = 0) UNION ALL SELECT c_custkey, -1.0 FROM customer WHERE c_custkey % 2 = 1""")
 def insert_ignore(spark, d):
+    """The new rows hold every customer twice."""
     c = t(spark, d, "customer").select("c_custkey", "c_acctbal")
-    return relational.insert_ignore(c.where("c_custkey % 2 = 0"), c.withColumn("c_acctbal", F.lit(-1.0)), ["c_custkey"])
+    new = c.withColumn("c_acctbal", F.explode(F.array(F.lit(-1.0), F.lit(5.0))))
+    return relational.insert_ignore(c.where("c_custkey % 2 = 0"), new, ["c_custkey"])
 
 
 def queries() -> dict[str, Query]:

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 
 # Column names that never leave, and the person numbers that no text may hold.
-FORBIDDEN = r"(?i)(^|_)(cpf|razao_social|nome_empresarial|nome_fantasia|telefone|fone|email|e_mail|correio|socio|responsavel|titular)($|_)"
+FORBIDDEN = r"(?i)razao|fantasia|nome_socio|socio|cpf|e_?mail|telefone|fone|logradouro|^numero$|complemento|endereco|titular"
 PERSON = r"(?<![0-9])[0-9]{3}\.?[0-9]{3}\.?[0-9]{3}-?[0-9]{2}(?![0-9])"
 
 
@@ -18,22 +20,30 @@ class PrivacyError(ValueError):
     pass
 
 
+def _names(kind: DataType, name: str) -> list[str]:
+    """A column's name and those of the fields in it."""
+    if isinstance(kind, ArrayType):
+        return _names(kind.elementType, name)
+    if isinstance(kind, StructType):
+        return [name, *(x for f in kind.fields for x in _names(f.dataType, f.name))]
+    return [name]
+
+
 def privacy_gate(df: DataFrame, exempt_prefix: str = "h3_") -> DataFrame:
-    """column, bad (rows with a person number) of every text column; one pass."""
-    text = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string" and not f.name.startswith(exempt_prefix)]
-    pairs = F.array(*(F.struct(F.lit(c).alias("column"), F.count_if(F.col(f"`{c}`").rlike(PERSON)).alias("bad")) for c in text))
+    """column, bad (rows with a person number) of every column with text, nested text included; one pass."""
+    text = [f for f in df.schema.fields if "string" in f.dataType.simpleString() and not f.name.startswith(exempt_prefix)]
     if not text:
         return df.sparkSession.createDataFrame([], "column string, bad long")
-    one = df.agg(*(F.count_if(F.col(f"`{c}`").rlike(PERSON)).alias(f"c{k}") for k, c in enumerate(text)))
-    pairs = F.array(*(F.struct(F.lit(c).alias("column"), F.col(f"c{k}").alias("bad")) for k, c in enumerate(text)))
+    plain = lambda f: F.col(f"`{f.name}`") if f.dataType.simpleString() == "string" else F.to_json(F.struct(f"`{f.name}`"))
+    one = df.agg(*(F.count_if(plain(f).rlike(PERSON)).alias(f"c{k}") for k, f in enumerate(text)))
+    pairs = F.array(*(F.struct(F.lit(f.name).alias("column"), F.col(f"c{k}").alias("bad")) for k, f in enumerate(text)))
     return one.select(F.inline(pairs))
 
 
 def check_private(df: DataFrame) -> DataFrame:
-    """df again, or PrivacyError for forbidden column names or person numbers in text."""
-    import re
-
-    if names := [c for c in df.columns if re.search(FORBIDDEN, c)]:
+    """df again, or PrivacyError for forbidden names of columns or nested fields, or person numbers in text."""
+    names = [n for f in df.schema.fields for n in _names(f.dataType, f.name)]
+    if names := [c for c in names if re.search(FORBIDDEN, c)]:
         raise PrivacyError(f"forbidden columns: {', '.join(names)}")
     if bad := [r["column"] for r in privacy_gate(df).where("bad > 0").collect()]:  # one row a column
         raise PrivacyError(f"person numbers in: {', '.join(bad)}")
