@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .geo import distance_join
+from .geo import distance_join, near_segments, nearest_any
 from .relational import cut, dimension
 
 #: Metres walked a minute, longest transfer walk, detour of streets against the straight line.
@@ -70,8 +71,11 @@ def reached_edges(edges: DataFrame, reached: DataFrame) -> DataFrame:
     return edges.join(r, edges["u"] == r["node"], "left_semi").join(r, edges["v"] == r["node"], "left_semi")
 
 
-def active_services(calendar: DataFrame, exceptions: DataFrame, day: str) -> DataFrame:
-    """service_id of the services that run on a date: the weekday's flag within the range, then added (1) and removed (2) dates."""
+def active_services(calendar: DataFrame | None, exceptions: DataFrame, day: str, services: DataFrame | None = None) -> DataFrame:
+    """service_id of the services that run on a date: the weekday's flag within the range, then added (1) and removed (2) dates. Without a
+    calendar all of services(service_id) run."""
+    if calendar is None:
+        return services.select("service_id").distinct()
     date = F.to_date(F.lit(day))
     names = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
     flag = F.element_at(F.array(*(F.col(n).cast("int") for n in names)), F.weekday(date) + 1)
@@ -113,25 +117,93 @@ def scan(connections: Iterable[tuple], walks: dict, arrival: dict) -> dict:
     return arrival
 
 
-def earliest_arrivals(conns: DataFrame, walks: DataFrame, origins: DataFrame) -> DataFrame:
-    """query, stop, arrival for each query of origins(query, stop, time): the scan runs once a query, queries side by side. The scan is
-    sequential by nature: each query's task holds one time window's connections, which callers bound by connections()."""
-    every = origins.select("query").distinct()
-    rows = every.join(dimension(conns), F.lit(True)).select("query", F.lit("c").alias("kind"), "trip", "a", "b", F.col("dep").cast("double").alias("x"), F.col("arr").cast("double").alias("y"))
-    rows = rows.unionAll(every.join(dimension(walks), F.lit(True)).select("query", F.lit("w"), F.lit(""), "a", "b", F.col("seconds").cast("double"), F.lit(0.0)))
-    rows = rows.unionAll(origins.select("query", F.lit("o"), F.lit(""), "stop", F.lit(""), F.col("time").cast("double"), F.lit(0.0)))
+def scan_all(dep: np.ndarray, arr: np.ndarray, a: np.ndarray, b: np.ndarray, trip: np.ndarray, walks: dict[int, list], best: np.ndarray) -> np.ndarray:
+    """scan() for many queries at once: best holds a row of arrivals by stop for each; connections come sorted by departure."""
+    on = np.zeros((len(best), int(trip.max(initial=-1)) + 1), bool)
+    for k in range(len(dep)):
+        go = on[:, trip[k]] | (best[:, a[k]] <= dep[k])
+        if go.any():
+            on[:, trip[k]] = go
+            better = np.flatnonzero(go & (arr[k] < best[:, b[k]]))
+            if len(better):
+                best[better, b[k]] = arr[k]
+                for c, seconds in walks.get(int(b[k]), ()):
+                    best[better, c] = np.minimum(best[better, c], arr[k] + seconds)
+    return best
+
+
+def earliest_arrivals(conns: DataFrame, walks: DataFrame, origins: DataFrame, span: float = 3600.0, budget: float = 14_400.0, block: int = 64) -> DataFrame:
+    """query, stop, arrival for each query of origins(query, stop, time), over connections that depart within `budget` seconds of the end
+    of its window.
+
+    Queries are dealt into windows of `span` seconds by their first time, and windows into blocks of about `block` queries. A connection
+    goes to the windows that it serves, a walk to those where its stop occurs, all by equi-joins; the sequential scan runs once a block,
+    for its queries at once. So a task holds the connections of one window, however many queries there are."""
+    per = origins.groupBy("query").agg(F.floor(F.min("time") / span).alias("w"))
+    many = per.groupBy("w").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    per = cut(per.join(dimension(many), "w").withColumn("blk", F.pmod(F.xxhash64("query"), F.col("blocks")).cast("int")).select("query", "w", "blk"))
+    groups = per.select("w", "blk").distinct()
+    first = F.ceil((F.col("dep") - budget) / span) - 1
+    c = conns.withColumn("w", F.explode(F.sequence(first, F.floor(F.col("dep") / span)))).join(dimension(groups), "w")
+    c = c.select("w", "blk", F.lit("c").alias("kind"), F.lit(None).cast("string").alias("query"), "trip", "a", "b", F.col("dep").cast("double").alias("x"), F.col("arr").cast("double").alias("y"))
+    o = origins.join(per, "query").select("w", "blk", F.lit("o").alias("kind"), "query", F.lit(None).cast("string").alias("trip"), F.col("stop").alias("a"), F.lit(None).cast("string").alias("b"), F.col("time").cast("double").alias("x"), F.lit(0.0).alias("y"))
+    used = c.select("w", "blk", F.col("b").alias("a")).unionAll(o.select("w", "blk", "a")).distinct()
+    f = walks.join(used, "a").select("w", "blk", F.lit("w").alias("kind"), F.lit(None).cast("string").alias("query"), F.lit(None).cast("string").alias("trip"), "a", "b", F.col("seconds").cast("double").alias("x"), F.lit(0.0).alias("y"))
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        by = dict(iter(part.groupby("kind")))
-        near: dict = {}
-        for r in by["w"].itertuples() if "w" in by else ():
-            near.setdefault(r.a, []).append((r.b, r.x))
-        start = {r.a: r.x for r in by["o"].itertuples()} if "o" in by else {}
-        for a, t in list(start.items()):
-            for b, s in near.get(a, ()):
-                start[b] = min(start.get(b, float("inf")), t + s)
-        order = by["c"].sort_values(["x", "y", "trip"]) if "c" in by else part.head(0)
-        got = scan(((r.x, r.y, r.a, r.b, r.trip) for r in order.itertuples()), near, start)
-        return pd.DataFrame({"query": part["query"].iloc[0], "stop": list(got), "arrival": list(got.values())})
-
-    return rows.groupBy("query").applyInPandas(run, "query string, stop string, arrival double")
+        rides, feet, begin = (part[part["kind"] == k] for k in "cwo")
+        rides = rides.sort_values(["x", "y", "trip"], kind="stable")
+        stops, at = np.unique(np.concatenate([part["a"].to_numpy(str), part["b"][part["kind"] != "o"].to_numpy(str)]), return_inverse=True)
+        place = dict(zip(stops.tolist(), range(len(stops))))
+        number = lambda col: col.map(place).to_numpy(np.int64)
+        near: dict[int, list] = {}
+        for u, v, t in zip(number(feet["a"]).tolist(), number(feet["b"]).tolist(), feet["x"].tolist()):
+            near.setdefault(u, []).append((v, t))
+        names, row = np.unique(begin["query"].to_numpy(str), return_inverse=True)
+        best = np.full((len(names), len(stops)), np.inf)
+        for r, s, t in zip(row.tolist(), number(begin["a"]).tolist(), begin["x"].tolist()):
+            best[r, s] = min(best[r, s], t)
+        for r, s, t in zip(row.tolist(), number(begin["a"]).tolist(), begin["x"].tolist()):
+            for v, walk in near.get(s, ()):
+                best[r, v] = min(best[r, v], t + walk)
+        _, trip = np.unique(rides["trip"].to_numpy(str), return_inverse=True)
+        best = scan_all(rides["x"].to_numpy(), rides["y"].to_numpy(), number(rides["a"]), number(rides["b"]), trip, near, best)
+        r, s = np.nonzero(np.isfinite(best))
+        return pd.DataFrame({"query": names[r], "stop": stops[s], "arrival": best[r, s]})
+
+    return c.unionAll(o).unionAll(f).groupBy("w", "blk").applyInPandas(run, "query string, stop string, arrival double")
+
+
+def snapped(places: DataFrame, nodes: DataFrame, metres: float = 300.0) -> DataFrame:
+    """id, node, metres: for each of places(id, lat, lon) the nearest of nodes(id, lat, lon), however far."""
+    a, b = places.withColumnRenamed("id", "a_id"), nodes.select(F.col("id").alias("b_id"), "lat", "lon")
+    return nearest_any(a, b, metres).select(F.col("a_id").alias("id"), F.col("b_id").alias("node"), "metres")
+
+
+def reach(nodes: DataFrame, edges: DataFrame, origin: tuple[float, float], minutes: float, stops: DataFrame | None = None, conns: DataFrame | None = None, start: int = 0) -> DataFrame:
+    """node, cost (metres of walking that the time is worth) within so many minutes of a place (lat, lon), on foot or, with stops(stop_id,
+    lat, lon) and connections, by bus leaving at `start` (seconds of the day): walk to stops, ride and change by earliest arrivals, walk
+    on from each stop with the time that is left. Places snap to the nearest node of the network's main component."""
+    spark, limit = nodes.sparkSession, minutes * WALK
+    main = nodes.join(main_component(edges).where("main").select(F.col("node").alias("id")), "id", "left_semi")
+    here = spark.range(1).select(F.lit("origin").alias("id"), F.lit(float(origin[0])).alias("lat"), F.lit(float(origin[1])).alias("lon"))
+    begin = cut(snapped(here, main).select("node", F.col("metres").alias("cost")))
+    on_foot = shortest(edges, begin, limit)
+    if stops is None:
+        return on_foot
+    used = conns.select(F.col("a").alias("stop_id")).unionAll(conns.select("b")).distinct()
+    at = cut(snapped(stops.join(used, "stop_id", "left_semi").select(F.col("stop_id").alias("id"), "lat", "lon"), main))
+    boarded = at.join(on_foot, "node").where(F.col("cost") + F.col("metres") <= limit)
+    asked = boarded.select(F.lit("q").alias("query"), F.col("id").alias("stop"), (start + (F.col("cost") + F.col("metres")) / WALK * 60).alias("time"))
+    known = stops.join(at.select(F.col("id").alias("stop_id")), "stop_id", "left_semi")
+    got = earliest_arrivals(conns.where(F.col("dep").between(start, start + minutes * 60)), transfers(known), asked, span=86_400.0)
+    off = got.join(at, F.col("stop") == F.col("id")).select("node", ((F.col("arrival") - start) / 60 * WALK + F.col("metres")).alias("cost"))
+    return shortest(edges, begin.unionAll(off), limit)
+
+
+def reached_area(points: DataFrame, nodes: DataFrame, edges: DataFrame, reached: DataFrame, margin: float = 40.0) -> DataFrame:
+    """id of the points(id, x, y) inside the area of a reach: at most `margin` from an edge with both ends reached. nodes(id, x, y) in the
+    points' planar metres."""
+    e = reached_edges(edges, reached).select("u", "v")
+    a, b = (nodes.select(F.col("id").alias(k), F.col("x").alias(f"x{n}"), F.col("y").alias(f"y{n}")) for k, n in (("u", 1), ("v", 2)))
+    return near_segments(points, e.join(a, "u").join(b, "v"), margin)
