@@ -9,7 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.parse import completed_years
-from .relational import dimension
+from .geo import polygon_hits, polygon_overlap, rings_of, signed_area
+from .relational import cut, dimension
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -147,11 +148,14 @@ def supply_gap(supply: DataFrame, residents: DataFrame, classes: Sequence) -> Da
     return x.select("place", "class", "n", F.round(expected, 3).alias("expected"), F.round(expected - F.col("n"), 3).alias("gap"), F.round(100 * F.col("n") / expected, 0).alias("index"))
 
 
-def dasymetric(homes: DataFrame, zones: DataFrame, measures: Sequence[str]) -> DataFrame:
-    """cell and the measures of zones(zone, measures...) spread over cells in proportion to their homes(zone, cell, homes)."""
-    all_ = homes.groupBy("zone").agg(F.sum("homes").alias("all_homes"))
-    part = ratio(F.col("homes"), F.col("all_homes"))
-    x = homes.join(all_, "zone").join(zones, "zone")
+def dasymetric(homes: DataFrame, zones: DataFrame, measures: Sequence[str], inside: DataFrame | None = None) -> DataFrame:
+    """cell and the measures of zones(zone, measures...) spread over cells in proportion to their homes(zone, cell, homes). Zones without
+    homes go whole to the cell of a point inside them, inside(zone, cell)."""
+    all_ = homes.groupBy("zone").agg(F.sum("homes").alias("all_homes")).where("all_homes > 0")
+    spread = homes.join(all_, "zone").select("zone", "cell", ratio(F.col("homes"), F.col("all_homes")).alias("_part"))
+    if inside is not None:
+        spread = spread.unionByName(inside.join(all_, "zone", "left_anti").select("zone", "cell", F.lit(1.0).alias("_part")))
+    part, x = F.col("_part"), spread.join(zones, "zone")
     return x.groupBy("cell").agg(*(F.round(F.sum(F.col(m) * part), 4).alias(m) for m in measures))
 
 
@@ -168,6 +172,48 @@ def radius_profile(points: DataFrame, inside: Column, km2_radius: float, km2_cit
     )
 
 
+def precise(firms: DataFrame) -> DataFrame:
+    """Active firms located to the block that aren't mere registered offices: firms(active, registered_only, level, ...)."""
+    level = F.col("level").isin("estabelecimento", "endereco", "endereco_sem_cep", "numero_proximo")
+    return firms.where(F.col("active") & ~F.coalesce("registered_only", F.lit(False)) & level)
+
+
+def residents_within(zones: DataFrame, homes_inside: DataFrame, touched: DataFrame) -> DataFrame:
+    """One row: residents, dwellings and the mean income of heads within an area. zones(zone, people, dwellings, income, homes) count with
+    the share of their homes that homes_inside(zone), a row each, shows inside; zones without homes with their share of land.
+    touched(zone, share): the zones that the area touches."""
+    n = homes_inside.groupBy("zone").agg(F.count(F.lit(1)).alias("n"))
+    x = zones.join(touched.select("zone", "share"), "zone").join(n, "zone", "left")
+    part = F.when(F.col("homes") > 0, F.coalesce("n", F.lit(0)) / F.col("homes").cast("double")).otherwise(F.col("share"))
+    x = x.withColumn("p", part)
+    weight = F.sum(F.when(F.col("income").isNotNull(), F.col("dwellings") * F.col("p")))
+    return x.agg(
+        F.round(F.sum(F.col("people") * F.col("p"))).alias("residents"), F.round(F.sum(F.col("dwellings") * F.col("p"))).alias("dwellings"),
+        F.round(F.sum(F.col("income") * F.col("dwellings") * F.col("p")) / F.nullif(weight, F.lit(0.0)), 2).alias("income"),
+    )
+
+
+def area_report(firms: DataFrame, zones: DataFrame, homes: DataFrame, area: DataFrame, city_km2: float, cell: float) -> DataFrame:
+    """The profile of any area, area(ring or rings) of one row in planar metres: by activity the firms inside and in the city, densities,
+    index, residents, firms per thousand of them and that index; most firms first. firms(id, x, y, activity, active, registered_only,
+    level), zones(zone, people, dwellings, income, homes, ring or rings), homes(id, zone, x, y). A radius is a circle's ring."""
+    one = area.select(F.lit("area").alias("a"), rings_of(area).alias("rings")).limit(1)
+    inside = lambda points: polygon_hits(points.select("id", "x", "y"), one, "a", cell).select("id")
+    shapes = zones.select(F.col("zone").alias("b_id"), rings_of(zones).alias("rings"))
+    land = shapes.select(F.col("b_id").alias("zone"), F.abs(signed_area(F.col("rings"))).alias("land"))
+    touched = polygon_overlap(one.withColumnRenamed("a", "a_id"), shapes, cell).select(F.col("b_id").alias("zone"), "area")
+    touched = touched.join(land, "zone").select("zone", ratio(F.col("area"), F.col("land")).alias("share"))
+    home = homes.join(inside(homes), "id", "left_semi").select("zone")
+    people = residents_within(zones.select("zone", "people", "dwellings", "income", "homes"), home, touched).first().residents
+    city = zones.agg(F.sum("people")).first()[0]
+    km2 = one.select(F.abs(signed_area(F.col("rings"))) / 1e6).first()[0]
+    f = cut(precise(firms))
+    f = f.join(inside(f).withColumn("in", F.lit(True)), "id", "left")
+    null = F.lit(None).cast("double")
+    found = radius_profile(f, F.coalesce(F.col("in"), F.lit(False)), km2, city_km2, F.lit(float(people)) if people else null, float(city) if city else 0.0)
+    return found.withColumn("residents", F.lit(people)).orderBy(F.col("n").desc(), "activity")
+
+
 def demography(long: DataFrame, mapping: dict[str, str], area: DataFrame) -> DataFrame:
     """zone, the mapped variables, residents, density, dependency, ageing from long(zone, variable, value) by one conditional pass;
     area(zone, km2). Mapped names used: people, men, women, age_0_14, age_15_29, age_30_59, age_60."""
@@ -185,13 +231,18 @@ def demography(long: DataFrame, mapping: dict[str, str], area: DataFrame) -> Dat
 
 
 def daily_climate(hourly: DataFrame, hours: int = -3, missing: float = -9999.0, places: int = 1) -> DataFrame:
-    """station, day, rain, mean, max, min, n of hourly(station, ts, rain, temp): days in local time; repeated readings count once."""
-    x = hourly.select("station", "ts", *(F.when(F.col(c) != missing, F.col(c)).alias(c) for c in ("rain", "temp")))
-    x = x.groupBy("station", "ts").agg(F.max("rain").alias("rain"), F.max("temp").alias("temp"))
+    """station, day, rain, rain_hours (hours with rain), mean, min, max, n (hours with a reading) of hourly(station, ts, rain, temp, low,
+    high): days in local time; the same hour in several files counts once (of several the largest rain, then temperature). Hourly extremes
+    that are missing are the temperature itself. A day without a reading of rain has null rain and null hours. Means are rounded half to
+    even."""
+    cols = ["rain", "temp", "low", "high"]
+    x = hourly.select("station", "ts", *(F.when(F.col(c) != missing, F.col(c)).alias(c) if c in hourly.columns else F.lit(None).cast("double").alias(c) for c in cols))
+    x = x.groupBy("station", "ts").agg(F.max(F.struct(*cols)).alias("r")).select("station", "ts", "r.*")
     x = x.withColumn("day", F.to_date(F.col("ts") + F.make_interval(hours=F.lit(hours))))
     return x.groupBy("station", "day").agg(
-        F.round(F.sum("rain"), places).alias("rain"), F.round(F.avg("temp"), places).alias("mean"), F.max("temp").alias("max"), F.min("temp").alias("min"), F.count("temp").alias("n")
-    )
+        F.bround(F.sum("rain"), places).alias("rain"), F.when(F.count("rain") > 0, F.count_if(F.col("rain") > 0)).alias("rain_hours"), F.bround(F.avg("temp"), places).alias("mean"),
+        F.min(F.coalesce("low", "temp")).alias("min"), F.max(F.coalesce("high", "temp")).alias("max"), F.greatest(F.count("rain"), F.count("temp")).alias("n"),
+    )
 
 
 def latest_period_sum(df: DataFrame, key: str, day: str, value: str) -> DataFrame:

@@ -65,6 +65,18 @@ def buildings_rollup(buildings: DataFrame) -> DataFrame:
     )
 
 
+def facilities(raw: DataFrame) -> DataFrame:
+    """One row per code of raw(code, name, theme, kind, subkind, authority, morning, afternoon, night, all_day, street, number, district,
+    region), blanks as null, with shifts: which of manha, tarde, noite, 24h it is open, joined."""
+    blank = lambda c: F.nullif(F.trim(c), F.lit(""))
+    on = lambda c, word: F.when(F.upper(c).isin("S", "SIM", "1", "TRUE"), F.lit(word))
+    shifts = F.concat_ws(",", on("morning", "manha"), on("afternoon", "tarde"), on("night", "noite"), on("all_day", "24h"))
+    cols = ["name", "theme", "kind", "subkind", "authority"]
+    place = ["street", "number", "district", "region"]
+    x = raw.select(blank("code").alias("code"), *(blank(c).alias(c) for c in cols), F.nullif(shifts, F.lit("")).alias("shifts"), *(blank(c).alias(c) for c in place))
+    return x.where("code is not null").groupBy("code").agg(F.min(F.struct(*cols, "shifts", *place)).alias("r")).select("code", "r.*")
+
+
 def signals(firms: DataFrame, contracts: DataFrame | None, debts: DataFrame | None, sanctions: DataFrame | None) -> DataFrame:
     """key, contract_value, debt_value, sanctioned; a source that isn't there gives nulls. Facts are reduced to firms by semi-joins before
     they are grouped."""

@@ -152,3 +152,21 @@ def weighted_mean(value: Column, weight: Column) -> Column:
 def or_empty(df: DataFrame | None, spark, schema: str) -> DataFrame:
     """An optional input, or an empty table of its schema so that left joins still work."""
     return spark.createDataFrame([], schema) if df is None else df
+
+
+def percentiles(df: DataFrame, keys: Sequence[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """keys and interpolated percentiles of a value. Equal values are counted before they shuffle, so a group's memory is that of its
+    distinct values."""
+    x = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    return x.groupBy(*keys).agg(*(F.percentile(value, F.lit(p), F.col("_c")).alias(name) for name, p in shares.items()))
+
+
+def json_object(key: Column | str, value: Column | str) -> Column:
+    """Aggregate: a JSON object of a group's keys and values, by key."""
+    return F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, value)))))
+
+
+def split_sample(df: DataFrame, key: str, seed: str, n: int) -> tuple[DataFrame, DataFrame]:
+    """The same n rows in every run, by hashed key, and all others."""
+    sample = cut(hash_sample(df, key, seed, n))
+    return sample, df.join(dimension(sample.select(key)), key, "left_anti")

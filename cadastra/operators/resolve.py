@@ -7,7 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import set_similarity, trigrams
-from .relational import mutual_best
+from .geo import distance
+from .relational import dimension, mutual_best, percentiles, split_sample
 
 #: From most to least precise.
 LEVELS = [
@@ -145,13 +146,23 @@ def agreement(found: DataFrame) -> DataFrame:
 
 def geocode_error(found: DataFrame) -> DataFrame:
     """level, n, median and p90 of the error in metres, share within 50 and 250 m of found(level, metres)."""
-    return found.groupBy("level").agg(
+    g = found.groupBy("level").agg(
         F.count(F.lit(1)).alias("n"),
-        F.round(F.percentile("metres", F.lit(0.5)), 1).alias("median"),
-        F.round(F.percentile("metres", F.lit(0.9)), 1).alias("p90"),
         F.round(100 * F.avg((F.col("metres") <= 50).cast("int")), 1).alias("within_50"),
         F.round(100 * F.avg((F.col("metres") <= 250).cast("int")), 1).alias("within_250"),
     )
+    p = percentiles(found, ["level"], "metres", {"median": 0.5, "p90": 0.9})
+    return g.join(p, "level", "left").select("level", "n", F.round("median", 1).alias("median"), F.round("p90", 1).alias("p90"), "within_50", "within_250")
+
+
+def evaluate_geocoding(census: DataFrame, districts: DataFrame, n: int, seed: str) -> DataFrame:
+    """geocode_error of n addresses of census(id, cep, street, full, number, name, lon, lat) that are hidden, geocoded by all others and
+    compared with where they are; the same sample in every run."""
+    sample, rest = split_sample(census.where("cep is not null and number is not null and street is not null"), "id", seed, n)
+    rest = census.join(dimension(sample.select("id")), "id", "left_anti")
+    targets = sample.withColumn("district", F.lit(None).cast("string")).select("id", "name", "cep", "street", "full", "number", "district")
+    found = geocode(targets, rest, districts).withColumnsRenamed({"lon": "lon2", "lat": "lat2"}).join(sample.select("id", "lon", "lat"), "id")
+    return geocode_error(found.select("level", distance(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2")).alias("metres")))
 
 
 def match_by_name(brands: DataFrame, firms: DataFrame) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parse import completed_years
+from .relational import auc, cut, deciles
 
 #: Pseudo-observations towards the wider group, for hazards and for districts.
 K_GROUP, K_DISTRICT = 50.0, 20.0
@@ -70,6 +73,20 @@ def backtest(firms: DataFrame, target: int) -> DataFrame:
     return predict(exposure(firms, target, target), model).select("key", "risk", "event")
 
 
+def validation(firms: DataFrame, base: int, years: int = 3) -> tuple[DataFrame, DataFrame]:
+    """Back-tests of the years before the base year, each from the five years before it: (year, n, events, observed, predicted, auc) and
+    the calibration (year, decile, n, predicted, observed). Rates are rounded half to even, four decimals; tied risks order by key."""
+    rates, tables = [], []
+    for year in range(base - years, base):
+        found = cut(backtest(firms, year))
+        sums = found.agg(F.count(F.lit(1)).alias("n"), F.sum("event").alias("events"), F.avg("event").alias("observed"), F.avg("risk").alias("predicted")).where("n > 0")
+        score = auc(found, "risk", "event").select("auc")
+        rates.append(sums.join(score, F.lit(True)).select(F.lit(year).alias("year"), "n", "events", F.bround("observed", 4).alias("observed"), F.bround("predicted", 4).alias("predicted"), "auc"))
+        slices = deciles(found, [F.col("risk"), F.col("key")]).groupBy("decile").agg(F.count(F.lit(1)).alias("n"), F.avg("risk").alias("p"), F.avg("event").alias("o"))
+        tables.append(slices.select(F.lit(year).alias("year"), "decile", "n", F.bround("p", 4).alias("predicted"), F.bround("o", 4).alias("observed")))
+    return reduce(DataFrame.unionAll, rates), reduce(DataFrame.unionAll, tables)
+
+
 def lead_score(firms: DataFrame, criteria: dict[str, Column], weights: dict[str, int] = WEIGHTS) -> DataFrame:
     """key, score from 0 to 100, criteria that hold (joined, most points first, then by name). All in one projection: no unpivot and no
     join back. Criteria that are null don't count."""
