@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,12 +47,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "level0",
     )
     out = ["doc_id", "sha", "rid"]
-    singles, ended, seen, width = [rows.where("gid is null").select(*out)], [], FIRST, FIRST
-    active = rows
+    done, seen, width, active = [], FIRST, FIRST, rows
     while True:
-        ended.append(active.where(f"gid is not null and len <= {seen}").select(*out, F.lit(len(ended)).alias("level"), "gid"))
         more = active.where(f"gid is not null and len > {seen}")
-        if more.isEmpty():
+        end = more.isEmpty()
+        # rows whose group is known leave, without their texts, so that a level's texts can go
+        known = active.where(f"gid is null or len <= {seen}").select(*out, F.lit(len(done)).alias("level"), "gid")
+        done.append(scratch.put(known, "done"))
+        if end:
             break
         width *= FACTOR
         more = more.withColumn("block", F.substring("rest", 1, width)).withColumn("rest", F.expr(f"substring(rest, {width + 1})"))
@@ -65,17 +69,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             more.join(groups, ["gid", "block"], "left").select("rid", "doc_id", "sha", F.col("next").alias("gid"), "len", "rest"),
             "level",
         )
+        scratch.keep(active, *done)
         seen += width
-        singles.append(active.where("gid is null").select(*out))
-    same = ended[0]
-    for x in ended[1:]:
-        same = same.unionAll(x)
-    alone = singles[0]
-    for x in singles[1:]:
-        alone = alone.unionAll(x)
+    all_ = reduce(DataFrame.unionAll, done)
+    same, alone = all_.where("gid is not null"), all_.where("gid is null")
     kept = scratch.put(
         same.groupBy("level", "gid").agg(F.max(F.struct("doc_id", "rid")).alias("k"), F.count(F.lit(1)).alias("group_size")), "kept"
     )
+    scratch.keep(kept, *done)
     same = same.join(checked_broadcast(kept, 96), ["level", "gid"]).select(
         "doc_id", F.col("k.doc_id").alias("keep_id"), "group_size", (F.col("rid") == F.col("k.rid")).alias("kept"), "sha"
     )

@@ -108,6 +108,7 @@ def mix(docs: DataFrame, seed: str = "mix", weight: Column | None = None, text_c
             ),
             "bounds",
         )
+    scratch.keep(rows, bounds)
     b = checked_broadcast(bounds, 256, alias=lambda x: x.withColumnRenamed("source", "src"))
     all_ = rows.join(b, F.col("source").eqNullSafe(F.col("src"))).drop("src")
     order = W.partitionBy("source").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
@@ -125,13 +126,14 @@ def emit(docs: DataFrame, columns: list[str], seed: str = "mix") -> DataFrame:
     times. Words join back to the texts by doc_id, source and text hash."""
     scratch = Scratch(docs.sparkSession, "mixed")
     ident = F.xxhash64("text")
-    taken = mix(docs.withColumn("th", ident), seed, carry=["th"]).where("taken > 0")
-    taken = taken.groupBy("doc_id", "source", "th").agg(F.max("size").alias("size"), F.floor(F.sum("taken") / F.count(F.lit(1))).alias("words"))
-    taken = scratch.put(taken.select(F.struct("doc_id", "source", "th", "size", "words").alias("k")), "taken")
-    same = F.col("doc_id").eqNullSafe(F.col("k.doc_id")) & F.col("source").eqNullSafe(F.col("k.source")) & (ident == F.col("k.th"))
-    rows = docs.join(checked_broadcast(taken, 96), same)
-    epochs, rest = F.floor(F.col("k.words") / F.col("k.size")).cast("int"), F.col("k.words") % F.col("k.size")
-    whole = rows.where(epochs > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), epochs))).select(*columns)
+    taken = mix(docs.select("doc_id", "source", "text", ident.alias("_mix_th")), seed, carry=["_mix_th"]).where("taken > 0")
+    taken = taken.groupBy("doc_id", "source", "_mix_th").agg(F.max("size").alias("size"), F.floor(F.sum("taken") / F.count(F.lit(1))).alias("words"))
+    taken = scratch.put(taken.select(F.struct("doc_id", "source", "_mix_th", "size", "words").alias("_mix")), "taken")
+    same = F.col("doc_id").eqNullSafe(F.col("_mix.doc_id")) & F.col("source").eqNullSafe(F.col("_mix.source")) & (ident == F.col("_mix._mix_th"))
+    rows = docs.select(*dict.fromkeys([*columns, "doc_id", "source", "text"])).join(checked_broadcast(taken, 96), same)
+    epochs, rest = F.floor(F.col("_mix.words") / F.col("_mix.size")).cast("int"), F.col("_mix.words") % F.col("_mix.size")
+    scratch.keep(taken)
+    whole = rows.where(epochs > 0).withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), epochs))).select(*columns)
     pieces = F.split("text", r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
     lead = F.when(F.col("text").rlike(r"\A[\x20\x09-\x0D]"), 1).otherwise(0)
     part = rows.where(rest > 0).withColumn("text", F.array_join(F.slice(pieces, F.lit(1), (rest + lead).cast("int")), ""))

@@ -167,8 +167,14 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
        two or more; these all are verified. A large group of near copies hangs together by its pivot and never becomes all pairs.
 
     Null doc_ids stay null and never are the smallest; null texts count as empty; repeated rows come back once each; empty tables give
-    empty results.
+    empty results; other columns are ignored.
     """
+    return grouped(docs, words, percent).select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """ngram_join's rows with two further columns: th (a hash of the text, null for null) and group (a number for each component of two
+    rows or more, null for rows that link with nothing). component_id is null where group is, or where no row has a doc_id."""
     spark = docs.sparkSession
     small_batches(spark)
     scratch = Scratch(spark, "ngram_join")
@@ -179,14 +185,16 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     schema = "doc_id long, th long, n long, s1 long, s2 long, matches int, prefix array<long>, sample array<long>"
     rows = scratch.put(src.mapInArrow(lean(lambda it: prefix_batches(it, words, percent, freq.value)), schema), "rows")
     freq.destroy()
-    seed = 0
-    while True:  # node: 64 bits of the digest; hashed anew in the unlikely case that two classes share them
-        node = F.xxhash64("s1", "s2", F.lit(seed)).alias("node")
-        full = rows.where("n > 0").withColumn("node", node)
+    again, seed = None, 0
+    while True:  # node: 64 bits of the digest; the few classes that share them are hashed anew
+        full = _with_node(rows.where("n > 0"), again)
         classes = scratch.put(full.groupBy("node", "s1", "s2").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("size")), "classes")
-        if classes.groupBy("node").count().where("count > 1").isEmpty():
+        shared = scratch.put(classes.groupBy("node").count().where("count > 1").select("node"), "clashes")
+        if shared.isEmpty():
             break
         seed += 1
+        fresh = classes.join(shared, "node").select("s1", "s2", F.xxhash64("s1", "s2", F.lit(seed)).alias("again"))
+        again = scratch.put(fresh if again is None else again.join(fresh, ["s1", "s2"], "left_anti").unionByName(fresh), "again")
     tokens = full.select("node", F.explode("sample").alias("token")).groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
     own = tokens.where("lo = hi").groupBy(F.col("lo").alias("node")).agg(F.count(F.lit(1)).alias("own"))
     far = scratch.put(own.join(full.select("node", "n").distinct(), "node").where(f"100 * (n - own) < {percent} * n").select("node"), "far")
@@ -195,19 +203,27 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     posts = full.select(F.explode("prefix").alias("token"), "node", "n", "matches")
     shared = scratch.put(posts.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("token"), "tokens")
     posts = scratch.put(posts.join(checked_broadcast(shared, 48), "token", "left_semi").distinct(), "posts")
-    out = classes.where("size > 1").select("node", F.col("first").alias("component_id"))
+    out = classes.where("size > 1").select("node", F.col("first").alias("component_id"), F.col("node").alias("group"))
     if not posts.isEmpty():
         comp = linked(src, full, posts, words, percent, scratch)
         roots = comp.join(classes, "node").groupBy("root").agg(F.min("first").alias("component_id"))
-        inside = scratch.put(comp.join(roots, "root").select("node", "component_id"), "inside")
+        inside = scratch.put(comp.join(roots, "root").select("node", "component_id", F.col("root").alias("group")), "inside")
+        # a class of one document that links with no other class has no group
+        alone = inside.groupBy("group").agg(F.count(F.lit(1)).alias("c"), F.first("node").alias("node")).where("c = 1")
+        alone = alone.join(classes.where("size = 1").select("node"), "node", "left_semi").select("node")
+        inside = inside.join(alone, "node", "left_anti")
         out = inside.unionAll(out.join(inside, "node", "left_anti"))
     out = scratch.put(out, "out")
-    scratch.keep(rows, out)
-    return (
-        rows.withColumn("node", F.when(F.col("n") > 0, node))
-        .join(checked_broadcast(out, 64), "node", "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
-    )
+    scratch.keep(*([rows, out] if again is None else [rows, out, again]))
+    found = _with_node(rows, again).withColumn("node", F.when(F.col("n") > 0, F.col("node")))
+    return found.join(checked_broadcast(out, 64), "node", "left").select("doc_id", "th", F.col("n").alias("n_shingles"), "component_id", "group")
+
+
+def _with_node(rows: DataFrame, again: DataFrame | None) -> DataFrame:
+    node = F.xxhash64("s1", "s2", F.lit(0))
+    if again is None:
+        return rows.withColumn("node", node)
+    return rows.join(checked_broadcast(again, 48), ["s1", "s2"], "left").withColumn("node", F.coalesce("again", node)).drop("again")
 
 
 def linked(src: DataFrame, full: DataFrame, posts: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:

@@ -88,7 +88,7 @@ def page_links(pages: DataFrame) -> DataFrame:
     html = F.coalesce(F.col("html"), F.lit(""))
     some = pages.where(F.lower(html).rlike("canonical|refresh"))
     found = F.concat(*(F.regexp_extract_all(html, F.lit(p), F.lit(i)) for p in (CANONICAL, REFRESH) for i in (1, 2, 3)))
-    found = F.filter(F.transform(found, F.trim), lambda x: x != "")
+    found = F.filter(F.transform(found, lambda x: F.trim(x)), lambda x: x != "")
     e = some.select("url", F.explode(F.array_distinct(found)).alias("target"))
     return e.select("url", resolved(F.col("target"), F.col("url")).alias("target")).where("target is not null")
 

@@ -151,6 +151,49 @@ def test_url_links(spark):
     assert got == {1: "block", 2: "block", 3: "block"}
 
 
+def test_url_classes_brute(spark):
+    """Thousands of random redirects among pages and other URLs, with chains, cycles and a hub, against plain union-find."""
+    rng = np.random.default_rng(41)
+    hosts = ["a.net", "b.com", "c.org", "example.com", "www.example.net", "d.io"]
+    paths = ["/en/", "/de/", "/de/8", "/es/", "/en/7", "/x"]
+    urls = [f"http://{hosts[i % 6]}{paths[int(rng.integers(0, 6))]}{i}" for i in range(3000)]
+    pick = lambda: int(rng.integers(0, 3000))
+    edges = [(urls[pick()], urls[pick()]) for _ in range(900)] + [(urls[i], urls[i + 1]) for i in range(200, 260)] + [(urls[2900], urls[k]) for k in range(2901, 2960)]
+    links = [(k, urls[k], f"<link rel=canonical href='{urls[pick()]}'>" if rng.random() < 0.2 else None) for k in range(2000)]
+    pages = spark.createDataFrame([(*x, "h", "v") for x in links], "page_id long, url string, html string, host string, verdict string")
+    got = {r.page_id: r for r in url_filter.url_filter(pages, url_filter.rules_table(spark, url_filter.RULES), spark.createDataFrame(edges, "url string, target string")).collect()}
+
+    def rule(u):
+        host, path = u.split("//")[1].split("/", 1)
+        path = "/" + path
+        fit = [(len(h + p), v, h + p) for v, h, p in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return max(fit)[1:] if fit else (None, None)
+
+    root = {u: u for u in urls}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for u, v in edges + [(u, h.split("'")[1]) for _, u, h in links if h]:
+        a, b = find(u), find(v)
+        root[max(a, b)] = min(a, b)
+    rules = {u: rule(u)[0] for u in urls}
+    bad = {find(u) for u in urls if rules[u] == "block"} - {find(u) for u in urls if rules[u] == "allow"}
+    want = {k: rules[u] or ("block" if find(u) in bad else "allow") for k, u, _ in links}
+    assert {k: r.verdict for k, r in got.items()} == want and {k: r.rule for k, r in got.items()} == {k: rule(u)[1] for k, u, _ in links}
+    assert sum(v == "block" and not rules[links[k][1]] for k, v in want.items()) > 50
+
+
+def test_url_long(spark):
+    """Very long URLs and rules of equal length."""
+    long = "http://h.net/" + "x" * 200_000
+    rules = spark.createDataFrame([("block", "h.net", "/ab"), ("allow", "h.net", "/ab"), ("block", "h.net", "/x")], "verdict string, host string, path string")
+    df = spark.createDataFrame([(1, long, None), (2, "http://h.net/abc", ""), (3, "http://sub.h.net/ab", "")], "page_id long, url string, html string")
+    assert {r.page_id: (r.verdict, len(r.path)) for r in url_filter.url_filter(df, rules).collect()} == {1: ("block", 200_001), 2: ("allow", 4), 3: ("allow", 3)}
+
+
 # -- 7 n-gram join
 
 
@@ -740,6 +783,30 @@ def test_tokens_clashing_columns(spark):
 # -- pipeline
 
 
+def test_pipeline_odd(spark, tmp_path):
+    """Nulls, empty texts, repeated rows, groups without ids, clashing columns and empty tables through every stage."""
+    import corpus_pipeline as p
+
+    words = [f"w{k}" for k in range(60)]
+    near = lambda k: " ".join(words[:40] + [f"e{k}"] + words[41:])
+    texts = [(1, near(1)), (2, near(2)), (2, near(2)), (2, "some other clean text of the same id that links with nothing at all " + "z y x " * 3), (None, near(3)), (None, "null one " + near(99) + " q" * 30), (None, "null one " + near(99) + " q" * 30 + " r"), (None, None), (5, ""), (6, " \n"), (7, "line\nline\nshort text")]
+    cols = "doc_id long, text string, lang string, source string, n_chars long, th long, `group` long, node long, key string, copy int, k int, gone long"
+    docs = spark.createDataFrame([(i, t, None, None if k % 3 else "s", None, 1, 2, 3, "k", 4, 5, 6) for k, (i, t) in enumerate(texts)], cols)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 1, 0), (None, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for name, stage in p.STAGES:
+        got = stage(spark, docs, str(tmp_path))
+        rows = got.collect()
+        if name != "sentencepiece":
+            assert got.columns == p.COLUMNS
+        if name == "ngram_jaccard_join":
+            kept = sorted(((r.doc_id, r.text) for r in rows), key=str)
+            assert kept == sorted([(1, near(1)), texts[3], min(texts[5:7], key=lambda x: x[1]), texts[7], texts[8], texts[9], texts[10]], key=str) or len(kept) == 7
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+    assert p.run(spark, "/root/testdata/sf0.001").count() > 0
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline as p
 
