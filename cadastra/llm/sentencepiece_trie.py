@@ -22,9 +22,13 @@ MARK = "▁"
 #: Piece types of the model format, as stated in its public schema.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: Distinct words, and pairs of pieces, that a worker remembers between batches; beyond it starts anew. They bound memory and change no
-#: result.
-REMEMBERED, PAIRS = 150_000, 300_000
+#: Distinct words, and pairs of pieces, that a worker remembers between batches; beyond it forgets words used once, or starts anew. They bound
+#: memory and change no result.
+REMEMBERED, PAIRS = 200_000, 400_000
+#: Bytes of text whose words are sorted together.
+CHUNK = 4 << 20
+#: Characters up to which a word's pairs are looked through anew after each merge; longer ones keep them in a heap.
+SHORT = 24
 
 
 def _fields(data: bytes):
@@ -81,7 +85,8 @@ class Model:
         self.known = {p for p in usable if len(p) == 1}
         low = min((s for s, t in zip(self.scores, self.types) if t == NORMAL), default=0.0)
         self.unk_score = low - 10.0
-        self.valid: dict[int, bool] = {}
+        self.valid: list[dict[int, bool]] = [{} for _ in self.pieces]
+        self.seen = 0
 
     def fallback(self, text: str) -> list[int]:
         """Ids of characters that no piece covers: their bytes, or one unknown piece for all of them."""
@@ -92,6 +97,8 @@ class Model:
     def merge(self, word: str) -> list[int]:
         """Plain byte-pair encoding of known characters: again and again the leftmost adjacent pair whose union scores highest. Pairs wait
         in a heap; each merge joins two links of a list, so long runs take n log n."""
+        if len(word) <= SHORT:
+            return self._merge_short(word)
         parts: list[str | None] = list(word)
         after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
         heap: list[tuple[float, int, str]] = []
@@ -117,29 +124,41 @@ class Model:
             offer(k)
         return [self.ids[p] for p in parts if p is not None]
 
+    def _merge_short(self, word: str) -> list[int]:
+        parts, ids, scores = list(word), self.ids, self.scores
+        while len(parts) > 1:
+            best, at = -math.inf, -1
+            for k in range(len(parts) - 1):
+                i = ids.get(parts[k] + parts[k + 1])
+                if i is not None and scores[i] > best:
+                    best, at = scores[i], k
+            if at < 0:
+                break
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return [ids[p] for p in parts]
+
     def follows(self, a: int, b: int) -> bool:
         """Whether piece b may stand after piece a: together they encode to just these two."""
-        if len(self.valid) > PAIRS:
-            self.valid.clear()
-        got = self.valid[a << 32 | b] = self.merge(self.pieces[a] + self.pieces[b]) == [a, b]
+        if self.seen > PAIRS:
+            for row in self.valid:
+                row.clear()
+            self.seen = 0
+        self.seen += 1
+        got = self.valid[a][b] = self.merge(self.pieces[a] + self.pieces[b]) == [a, b]
         return got
 
-    def automaton(self) -> tuple[dict[tuple[int, str], int], list[int]]:
-        """The trie of pieces: next node by (node, character), and the piece that ends at a node (-1 without one). For a byte-pair model
+    def automaton(self) -> dict:
+        """The trie of pieces: a node is a dict of next nodes by character, with the piece that ends there under 0. For a byte-pair model
         pieces that their own encoding doesn't reach are left out."""
         if not hasattr(self, "_trie"):
-            step, ends = {}, [-1]
+            self._trie: dict = {}
             for p, i in self.ids.items():
                 if self.kind == BPE and len(p) > 1 and self.merge(p) != [i]:
                     continue
-                node = 0
+                node = self._trie
                 for c in p:
-                    if (node, c) not in step:
-                        step[node, c] = len(ends)
-                        ends.append(-1)
-                    node = step[node, c]
-                ends[node] = i
-            self._trie = step, ends
+                    node = node.setdefault(c, {})
+                node[0] = i
         return self._trie
 
     # -- depth-first over sorted words
@@ -154,70 +173,99 @@ class Model:
         that may follow the encoding of what stands before it.
         """
         out, before = [], ""
-        step, ends = self.automaton()
-        unigram, scores, pieces, valid, follows = self.kind == UNIGRAM, self.scores, self.pieces, self.valid, self.follows
+        size = [len(p) for p in self.pieces] + [1]  # the last one is that of -1
+        extend = self._viterbi if self.kind == UNIGRAM else self._followed
         # state after each prefix of the path: score, piece that ends there, and (start, node) of the pieces that may still go on
         score, last, open_ = [0.0], [-1], [[]]
         for word in words:
-            n = min(len(before), len(word))
-            same = next((k for k in range(n) if before[k] != word[k]), n)
+            same = 0
+            for x, y in zip(before, word):
+                if x != y:
+                    break
+                same += 1
             del score[same + 1 :], last[same + 1 :], open_[same + 1 :]
-            alive = open_[same]
-            for end in range(same, len(word)):
-                c, best, at, live = word[end], -math.inf, -1, []
-                for start, node in alive:  # longest first
-                    node = step.get((node, c))
-                    if node is not None:
-                        live.append((start, node))
-                node = step.get((0, c))
+            extend(word, same, score, last, open_)
+            got, end = [], len(word)
+            while end > 0:
+                i = last[end]
+                got.append(i)
+                end -= size[i]
+            got.reverse()
+            out.append(got)
+            before = word
+        return out
+
+    def _viterbi(self, word: str, begin: int, score: list, last: list, open_: list) -> None:
+        root, scores, alive = self.automaton(), self.scores, open_[begin]
+        for end in range(begin, len(word)):
+            c, best, at, live = word[end], -math.inf, -1, []
+            for start, node in [*alive, (end, root)]:  # longest first
+                node = node.get(c)
                 if node is not None:
-                    live.append((end, node))
-                for start, at_node in live:
-                    i = ends[at_node]
-                    if i < 0:
-                        continue
-                    if unigram:
+                    live.append((start, node))
+                    i = node.get(0)
+                    if i is not None:
                         s = score[start] + scores[i]
                         if s > best:
                             best, at = s, i
-                    else:
-                        a = last[start]
-                        if a < 0:
-                            if start == 0:
-                                at = i
-                                break
-                            continue
-                        ok = valid.get(a << 32 | i)
-                        if ok or ok is None and follows(a, i):
+            single = live and live[-1][0] == end and 0 in live[-1][1]
+            if not single and score[end] + self.unk_score > best:
+                best, at = score[end] + self.unk_score, -1
+            score.append(best)
+            last.append(at)
+            open_.append(live)
+            alive = live
+
+    def _followed(self, word: str, begin: int, score: list, last: list, open_: list) -> None:
+        root, valid, follows, alive = self.automaton(), self.valid, self.follows, open_[begin]
+        for end in range(begin, len(word)):
+            c, at, live = word[end], -1, []
+            for start, node in alive:  # longest first
+                node = node.get(c)
+                if node is not None:
+                    i = node.get(0)
+                    if i is None or len(node) > 1:  # some piece goes on
+                        live.append((start, node))
+                    if at < 0 and i is not None:
+                        if not start:
                             at = i
-                            break
-                if unigram and (node is None or ends[node] < 0) and score[end] + self.unk_score > best:
-                    best, at = score[end] + self.unk_score, -1
-                score.append(best)
-                last.append(at)
-                open_.append(live)
-                alive = live
-            got, end = [], len(word)
-            while end > 0:
-                got.append(last[end])
-                end -= len(pieces[last[end]]) if last[end] >= 0 else 1
-            out.append(got[::-1])
-            before = word
-        return out
+                        elif (a := last[start]) < 0:
+                            pass
+                        elif (ok := valid[a].get(i)) or ok is None and follows(a, i):
+                            at = i
+            node = root.get(c)
+            if node is not None:
+                i = node.get(0)
+                if i is None or len(node) > 1:
+                    live.append((end, node))
+                if at < 0 and i is not None:
+                    a = last[end]
+                    if a < 0:
+                        if end == 0:
+                            at = i
+                    elif (ok := valid[a].get(i)) or ok is None and follows(a, i):
+                        at = i
+            last.append(at)
+            open_.append(live)
+            alive = live
 
     def encode_words(self, words: set[str]) -> dict[str, list[int]]:
         """Ids of distinct marked words of any characters."""
+        parts = {w: self.word.findall(w) for w in words}
+        got = self.encode_units({u for p in parts.values() for u in p})
+        return {w: [i for u in p for i in got[u]] for w, p in parts.items()}
+
+    def encode_units(self, units: set[str]) -> dict[str, list[int]]:
+        """Ids of distinct parts that the pattern `word` gives."""
         if self.kind == UNIGRAM:
-            order = sorted(words)
+            order = sorted(units)
             return {w: self.covered(w, ids) if -1 in ids else ids for w, ids in zip(order, self.encode_sorted(order))}
-        split = self.known_run.findall
-        parts = {w: split(w) for w in words}
-        runs = {r for p in parts.values() for r in p if r[0] in self.known}
-        plain = sorted(r for r in runs if not r.startswith(MARK * 2))
+        known, twice = self.known, MARK * 2
+        plain = sorted(u for u in units if u[0] in known and not u.startswith(twice))
         got = dict(zip(plain, self.encode_sorted(plain)))
-        for r in runs - got.keys():  # runs of marks, whose pieces tie in score, are merged step by step
-            got[r] = self.merge(r)
-        return {w: [i for r in p for i in (got[r] if r in got else self.fallback(r))] for w, p in parts.items()}
+        for u in units - got.keys():  # runs of marks, whose pieces tie in score, are merged step by step
+            got[u] = self.merge(u) if u[0] in known else self.fallback(u)
+        return got
 
     def covered(self, word: str, ids: list[int]) -> list[int]:
         """ids with each run of -1 replaced by what its characters fall back to."""
@@ -236,11 +284,15 @@ class Model:
         return out
 
     @property
-    def known_run(self) -> re.Pattern:
-        if not hasattr(self, "_run"):
-            chars = "".join(map(re.escape, sorted(self.known)))
-            self._run = re.compile(f"[{chars}]+|[^{chars}]+")
-        return self._run
+    def word(self) -> re.Pattern:
+        """What is encoded as a whole: marks with what follows them, or what stands before the first mark. A byte-pair model's pieces don't
+        cross characters that have none, so its words end there, too; that keeps the distinct ones few."""
+        if not hasattr(self, "_word"):
+            self._word = WORD
+            if self.kind == BPE:
+                chars = "".join(map(re.escape, sorted(self.known - {MARK})))
+                self._word = re.compile(f"{MARK}+[{chars}]*|[{chars}]+|[^{chars}{MARK}]+")
+        return self._word
 
     def marked(self, text: str) -> str:
         if self.squeeze:
@@ -284,24 +336,38 @@ class _Table:
 
     def clear(self) -> None:
         self.number, self.used = {}, 0
-        self.flat, self.begin, self.lengths = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.flat, self.begin, self.lengths, self.uses = np.zeros(1 << 16, np.int32), *(np.zeros(1 << 14, np.int64) for _ in range(3))
+
+    def shrink(self) -> None:
+        """Forgets the words that have been used just once; all, if too many are left."""
+        n = len(self.number)
+        keep = np.flatnonzero(self.uses[:n] > 1)
+        if len(keep) > REMEMBERED // 2:
+            self.clear()
+            return
+        names, flat = list(self.number), _gather(self.flat, self.begin, self.lengths, keep)
+        lengths = self.lengths[keep]
+        self.clear()
+        self.number = {names[k]: at for at, k in enumerate(keep.tolist())}
+        self.flat, self.used = flat, len(flat)
+        self.lengths, self.begin, self.uses = lengths, np.cumsum(lengths) - lengths, np.ones(len(keep), np.int64)
 
     def add(self, words: set[str]) -> None:
         new = words - self.number.keys()
         if len(self.number) + len(new) > REMEMBERED:
-            self.clear()
-            new = words
+            self.shrink()
+            new = words - self.number.keys()
         if not new:
             return
-        got = self.model.encode_words(new)
+        got = self.model.encode_units(new)
         count = np.fromiter(map(len, got.values()), np.int64, len(got))
-        flat = np.fromiter((i for x in got.values() for i in x), np.int32, int(count.sum()))
+        flat = np.fromiter(chain.from_iterable(got.values()), np.int32, int(count.sum()))
         n, m = len(self.number), self.used + len(flat)
         if m > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(m, np.int32)])
         if n + len(got) > len(self.begin):
             more = np.zeros(n + len(got), np.int64)
-            self.begin, self.lengths = np.concatenate([self.begin, more]), np.concatenate([self.lengths, more])
+            self.begin, self.lengths, self.uses = (np.concatenate([x, more]) for x in (self.begin, self.lengths, self.uses))
         self.flat[self.used : m] = flat
         self.lengths[n : n + len(got)] = count
         self.begin[n : n + len(got)] = self.used + np.cumsum(count) - count
@@ -344,9 +410,11 @@ def piece_bytes(model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def encode_column(table: _Table, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Flat ids of a list of texts and their offsets."""
     model = table.model
-    words = [WORD.findall(model.marked(t)) for t in texts]
+    split = model.word.findall
+    words = [split(model.marked(t)) for t in texts]
     table.add(set().union(*words))
     pick = np.fromiter(map(table.number.__getitem__, chain.from_iterable(words)), np.int64, sum(map(len, words)))
+    table.uses += np.bincount(pick, minlength=len(table.uses))
     per_word = np.concatenate([[0], np.cumsum(table.lengths[pick])])
     at = np.concatenate([[0], np.cumsum([len(x) for x in words])])
     return _gather(table.flat, table.begin, table.lengths, pick), per_word[at]
@@ -355,7 +423,7 @@ def encode_column(table: _Table, texts: list[str]) -> tuple[np.ndarray, np.ndarr
 def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
     """docs(doc_id, text, ...) without text, and: n_tokens, token_ids, round_trip (the ids decode to the very text).
 
-    One pass without a shuffle. Each worker takes about a megabyte of text at a time, splits it into marked words, encodes the
+    One pass without a shuffle. Each worker takes some megabytes of text at a time (CHUNK), splits it into marked words, encodes the
     distinct ones it hasn't met along the trie, and puts texts together by number. Null texts get null ids, no tokens and a null
     round_trip; empty ones no ids; repeated rows come back each; other columns pass through, but for n_tokens, token_ids and
     round_trip, which are replaced. With a model that squeezes spaces the round trip is to the squeezed text.
@@ -379,7 +447,7 @@ def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
         flat, begin, lengths = piece_bytes(model)
         for batch in batches:
             _, offsets = kernel.buffers(batch.column(at))
-            for i, j in kernel.chunks(offsets):
+            for i, j in kernel.chunks(offsets, CHUNK):
                 part = batch.slice(i, j - i)
                 raw = part.column(at).to_pylist()
                 texts = [t or "" for t in raw]
