@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import kernel
-from .shared import small_batches
+from .shared import lean, small_batches
 
 #: The vocabulary file of a public tokenizer; a parameter of every function here.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -24,9 +24,9 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Distinct words, and pairs of pieces, that a worker remembers between batches; beyond it forgets words used once, or starts anew. They bound
 #: memory and change no result.
-REMEMBERED, PAIRS = 200_000, 400_000
+REMEMBERED, PAIRS = 150_000, 300_000
 #: Bytes of text whose words are sorted together.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 #: Characters up to which a word's pairs are looked through anew after each merge; longer ones keep them in a heap.
 SHORT = 24
 
@@ -423,7 +423,7 @@ def encode_column(table: _Table, texts: list[str]) -> tuple[np.ndarray, np.ndarr
 def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
     """docs(doc_id, text, ...) without text, and: n_tokens, token_ids, round_trip (the ids decode to the very text).
 
-    One pass without a shuffle. Each worker takes some megabytes of text at a time (CHUNK), splits it into marked words, encodes the
+    One pass without a shuffle. Each worker takes about a megabyte of text at a time (CHUNK), splits it into marked words, encodes the
     distinct ones it hasn't met along the trie, and puts texts together by number. Null texts get null ids, no tokens and a null
     round_trip; empty ones no ids; repeated rows come back each; other columns pass through, but for n_tokens, token_ids and
     round_trip, which are replaced. With a model that squeezes spaces the round trip is to the squeezed text.
@@ -469,7 +469,7 @@ def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
                 )
 
     schema = ", ".join(f"`{docs.schema[k].name}` {docs.schema[k].dataType.simpleString()}" for k in others)
-    return docs.mapInArrow(run, f"{schema}, n_tokens long, token_ids array<int>, round_trip boolean")
+    return docs.mapInArrow(lean(run), f"{schema}, n_tokens long, token_ids array<int>, round_trip boolean")
 
 
 def decode(tokens: DataFrame, path: str = MODEL) -> DataFrame:

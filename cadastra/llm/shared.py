@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import kernel
+
 #: A side is broadcast only if its counted rows times the given row width stay below this.
 BROADCAST_BYTES = 32 << 20
 
@@ -47,6 +49,7 @@ def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
 
     def wrapped(batches):
         yield from run(batches)
+        kernel.powers.cache_clear()
         gc.collect()
         pa.default_memory_pool().release_unused()
         try:
