@@ -27,9 +27,9 @@ def fuzzy_pairs(left: DataFrame, right: DataFrame, block: str, threshold: float,
     t = F.lit(threshold - 1e-6)
 
     def side(df: DataFrame, name: str, x: str) -> DataFrame:
-        grams = F.transform(trigrams("name"), lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g")))
-        df = df.select(name, F.col(block).alias(f"b{x}"), F.array_sort(grams).alias(f"t{x}"))
-        prefix = F.slice(f"t{x}", F.lit(1), (F.size(f"t{x}") - F.ceil(t * F.size(f"t{x}")) + 1).cast("int"))
+        df = df.select(name, F.col(block).alias(f"b{x}"), trigrams("name").alias(f"t{x}"))
+        order = F.array_sort(F.transform(f"t{x}", lambda g: F.xxhash64(g)))
+        prefix = F.slice(order, F.lit(1), (F.size(f"t{x}") - F.ceil(t * F.size(f"t{x}")) + 1).cast("int"))
         df = df.withColumn(f"p{x}", F.when(F.size(f"t{x}") > 0, prefix))
         return df.withColumn(f"k{x}", F.explode(f"p{x}"))
 
