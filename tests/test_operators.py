@@ -103,6 +103,28 @@ def test_permits_pairs(spark):
     assert 2000 <= most_rows(spark, found) < 100_000
 
 
+def test_mutual_nearest(spark):
+    """3000 by 3000 rows with few distinct values give the pairs of the plain way, and no step gives out the 9 million pairs."""
+    a = spark.range(3000).select((F.col("id") * 7 % 3001).alias("a_id"), (F.col("id") % 2).alias("g"), F.when(F.col("id") % 50 < 49, F.col("id") % 50 * 1.5).alias("x"))
+    b = spark.range(3000).select((F.col("id") * 11 % 3001).alias("b_id"), (F.col("id") % 3).alias("g"), (F.col("id") % 40 * 2.0).alias("y"))
+    score, got = F.round(1 / (1 + F.abs(F.col("x") - F.col("y"))), 2), []
+    assert most_rows(spark, lambda: got.extend(relational.mutual_nearest(a, b, "a_id", "b_id", ["g"], score).collect())) < 20_000
+    few = lambda df, k: df.where(F.col(k) < 400)
+    want = relational.mutual_best(few(a, "a_id").join(few(b, "b_id"), "g").select("a_id", "b_id", score.alias("score")), "a_id", "b_id", "score")
+    few_got = relational.mutual_nearest(few(a, "a_id"), few(b, "b_id"), "a_id", "b_id", ["g"], score)
+    assert sorted(map(tuple, few_got.collect())) == sorted(map(tuple, want.collect())) and got and few_got.count()
+
+
+def test_mutual_best_pairs(spark, tmp_path):
+    """The query itself on 2000 customers and suppliers of one nation with ten balances."""
+    one = lambda p, k: spark.range(2000).select(F.col("id").alias(f"{p}_{k}key"), F.lit(1).alias(f"{p}_nationkey"), (F.col("id") % 10 * 3.25).alias(f"{p}_acctbal"))
+    one("c", "cust").write.parquet(f"{tmp_path}/customer.parquet")
+    one("s", "supp").write.parquet(f"{tmp_path}/supplier.parquet")
+    got = []
+    assert most_rows(spark, lambda: got.extend(catalog.mutual_best_match(spark, str(tmp_path)).collect())) < 10_000
+    assert sorted(map(tuple, got)) == [(k, k, 1.0) for k in range(10)]
+
+
 def test_geocode_cascade(spark):
     census = [("80000001", "FLORES", "FLORES", n, None, -49.0 + n * 1e-5, -25.0) for n in range(2, 100, 2)]
     census += [("80000001", "FLORES", "FLORES", 10, "MERCADO CENTRAL", -49.0, -25.0), ("80000002", "PEDRAS", "PEDRAS", 5, None, -49.1, -25.1)]
