@@ -63,29 +63,50 @@ def distance_join(a: DataFrame, b: DataFrame, metres: float) -> DataFrame:
     return left.join(right, ["i", "j"]).select("a_id", "b_id", d.alias("metres")).where(F.col("metres") <= metres)
 
 
-def nearest(a: DataFrame, b: DataFrame, metres: float) -> DataFrame:
-    """For each a its nearest b within a radius (then the smaller id): a_id, b_id, metres."""
-    return (
-        distance_join(a, b, metres)
-        .groupBy("a_id")
-        .agg(F.min(F.struct("metres", "b_id")).alias("m"))
-        .select("a_id", "m.b_id", "m.metres")
-    )
+#: Pairs for each point that a first round of a search for the nearest may look at, on average.
+PAIRS = 32
 
 
-def nearest_any(a: DataFrame, b: DataFrame, metres: float) -> DataFrame:
-    """For each a its nearest b however far (then the smaller id): a search by growing radius. Each round takes four times the radius for
-    the points that have found nothing yet."""
-    spark, out, left, r = a.sparkSession, None, a, float(metres)
-    if b.isEmpty():
-        return spark.createDataFrame([], a.select("a_id").schema).join(b.select("b_id"), F.lit(False)).withColumn("metres", F.lit(0.0))
+def _first_radius(a: DataFrame, b: DataFrame, metres: float) -> float:
+    """The largest of metres, metres / 4, metres / 16, ... at which a and b share few cells: counted cell by cell, at all radii at once."""
+    radii = [metres / 4**k for k in range(9)]
+
+    def cells(df: DataFrame, n: str) -> DataFrame:
+        own = [F.struct(F.lit(k).alias("k"), F.floor(F.col("lat") / (r / DEGREE)).alias("i"), F.floor(F.col("lon") * F.cos(F.radians("lat")) / (r / DEGREE)).alias("j")) for k, r in enumerate(radii)]
+        return df.select(F.explode(F.array(*own)).alias("c")).groupBy("c.k", "c.i", "c.j").agg(F.count(F.lit(1)).alias(n))
+
+    pairs = cells(a, "n").join(cells(b, "m"), ["k", "i", "j"]).groupBy("k").agg(F.sum(F.col("n").cast("double") * F.col("m") * 9).alias("pairs"))
+    pairs, rows = {r.k: r.pairs for r in pairs.collect()}, a.count()
+    return next((r for k, r in enumerate(radii) if pairs.get(k, 0) <= PAIRS * rows), radii[-1])
+
+
+def _search(a: DataFrame, b: DataFrame, first: float, last: float) -> DataFrame:
+    """nearest by growing radius: each round takes four times the radius for the points that have found nothing yet. Of all b at one
+    place only the one with the smallest id can be it."""
+    b = b.groupBy("lat", "lon").agg(F.min("b_id").alias("b_id"))
+    r, out, left = _first_radius(a, b, first), None, a
     while True:
-        found = cut(nearest(left, b, r))
+        found = distance_join(left, b, r).groupBy("a_id").agg(F.min(F.struct("metres", "b_id")).alias("m")).select("a_id", "m.b_id", "m.metres")
+        if r >= last:
+            return found if out is None else out.unionAll(found)
+        found = cut(found)
         out = found if out is None else out.unionAll(found)
         left = cut(left.join(found.select("a_id"), "a_id", "left_anti"))
-        if left.isEmpty() or r > math.pi * RADIUS:
+        if left.isEmpty():
             return out
-        r = min(4 * r, 1.1 * math.pi * RADIUS)
+        r = min(4 * r, last)
+
+
+def nearest(a: DataFrame, b: DataFrame, metres: float) -> DataFrame:
+    """For each a its nearest b within a radius (then the smaller id): a_id, b_id, metres."""
+    return _search(a, b, metres, metres)
+
+
+def nearest_any(a: DataFrame, b: DataFrame, metres: float) -> DataFrame:
+    """For each a its nearest b however far (then the smaller id): a search that goes on beyond the given radius."""
+    if b.isEmpty():
+        return a.sparkSession.createDataFrame([], a.select("a_id").schema).join(b.select("b_id"), F.lit(False)).withColumn("metres", F.lit(0.0))
+    return _search(a, b, metres, max(metres, 1.1 * math.pi * RADIUS))
 
 
 def edges_of(rings: Column) -> Column:

@@ -125,6 +125,33 @@ def test_mutual_best_pairs(spark, tmp_path):
     assert sorted(map(tuple, got)) == [(k, k, 1.0) for k in range(10)]
 
 
+def test_nearest_any_copies(spark):
+    """2000 points and 2000 copies of two places: the smallest id of a place is found without all 4 million pairs."""
+    a = spark.range(2000).select(F.col("id").alias("a_id"), (F.lit(-25.0) + F.col("id") * 1e-6).alias("lat"), F.lit(-49.0).alias("lon"))
+    b = spark.range(2000).select((F.lit(2000) - F.col("id")).alias("b_id"), (F.lit(-25.001) + F.col("id") % 2 * 0.2).alias("lat"), F.lit(-49.0).alias("lon"))
+    got = []
+    assert most_rows(spark, lambda: got.extend(geo.nearest_any(a, b, 1000.0).collect())) < 100_000
+    assert {r.a_id: r.b_id for r in got} == {k: 2 for k in range(2000)}
+
+
+def test_nearest_dense(spark):
+    """2500 by 2500 points within one radius, an empty corner and a point too far off, against brute force: no step gives out all pairs."""
+    x, y = F.col("id") % 50, F.floor(F.col("id") / 50)
+    a = spark.range(2500).select(F.col("id").alias("a_id"), (F.lit(-25.0) + x * 1e-4 + F.when(F.col("id") == 7, 1.0).otherwise(0.0)).alias("lat"), (F.lit(-49.0) + y * 1.1e-4).alias("lon"))
+    b = spark.range(2500).where((x < 30) | (y < 20)).select((F.lit(9000) - F.col("id")).alias("b_id"), (F.lit(-25.0) + x * 1.003e-4).alias("lat"), (F.lit(-49.0) + y * 1.107e-4).alias("lon"))
+    got = []
+    assert most_rows(spark, lambda: got.extend(geo.nearest(a, b, 1500.0).collect())) < 500_000
+    p, q = np.array(sorted(map(tuple, a.collect()))), np.array(sorted(map(tuple, b.collect())))
+    f, g = np.radians(p[:, None, 1:]), np.radians(q[None, :, 1:])
+    h = np.sin((g - f)[..., 0] / 2) ** 2 + np.cos(f[..., 0]) * np.cos(g[..., 0]) * np.sin((g - f)[..., 1] / 2) ** 2
+    metres = 2 * geo.RADIUS * np.arcsin(np.sqrt(h))
+    found = {r.a_id: (r.b_id, r.metres) for r in got}
+    assert set(found) == set(range(2500)) - {7}
+    at = {int(k): i for i, k in enumerate(q[:, 0])}
+    for k, (m, d) in found.items():
+        assert abs(metres[k].min() - d) < 1e-6 and abs(metres[k, at[m]] - d) < 1e-6
+
+
 def test_geocode_cascade(spark):
     census = [("80000001", "FLORES", "FLORES", n, None, -49.0 + n * 1e-5, -25.0) for n in range(2, 100, 2)]
     census += [("80000001", "FLORES", "FLORES", 10, "MERCADO CENTRAL", -49.0, -25.0), ("80000002", "PEDRAS", "PEDRAS", 5, None, -49.1, -25.1)]
