@@ -82,11 +82,16 @@ def _first_radius(a: DataFrame, b: DataFrame, metres: float) -> float:
 
 def _search(a: DataFrame, b: DataFrame, first: float, last: float) -> DataFrame:
     """nearest by growing radius: each round takes four times the radius for the points that have found nothing yet. Of all b at one
-    place only the one with the smallest id can be it."""
+    place only the one with the smallest id can be it; where no more than PAIRS places are left, all points meet all of them at once."""
     b = b.groupBy("lat", "lon").agg(F.min("b_id").alias("b_id"))
+    best = lambda pairs: pairs.groupBy("a_id").agg(F.min(F.struct("metres", "b_id")).alias("m")).select("a_id", "m.b_id", "m.metres")
+    if b.limit(PAIRS + 1).count() <= PAIRS:
+        d = distance(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2"))
+        pairs = a.crossJoin(F.broadcast(b.select("b_id", F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))))
+        return best(pairs.select("a_id", "b_id", d.alias("metres")).where(F.col("metres") <= last))
     r, out, left = _first_radius(a, b, first), None, a
     while True:
-        found = distance_join(left, b, r).groupBy("a_id").agg(F.min(F.struct("metres", "b_id")).alias("m")).select("a_id", "m.b_id", "m.metres")
+        found = best(distance_join(left, b, r))
         if r >= last:
             return found if out is None else out.unionAll(found)
         found = cut(found)
