@@ -152,6 +152,24 @@ def test_nearest_dense(spark):
         assert abs(metres[k].min() - d) < 1e-6 and abs(metres[k, at[m]] - d) < 1e-6
 
 
+def test_fuzzy_pairs_copies(spark):
+    """Rows of few names in one block: every pair of ids comes out once, its names are compared once a class, no side is broadcast."""
+    names = ["rose blue green", "rose blue grey", "blue rose green", "lemon", "", None]
+    row = F.element_at(F.array(*map(F.lit, names)), (F.col("id") % 6 + 1).cast("int"))
+    a = spark.range(300).select(F.col("id").alias("left_id"), F.when(F.col("id") < 294, "x").alias("block"), row.alias("name"))
+    df = resolve.fuzzy_pairs(a, a.withColumnRenamed("left_id", "right_id"), "block", 0.6, ascending=True)
+    grams = lambda s: {f"  {w} "[i : i + 3] for w in s.split() for i in range(len(w) + 1)}
+    g = [grams(n) if n else set() for n in names]
+    want = {(i, j) for i in range(294) for j in range(i + 1, 294) if g[i % 6] and len(g[i % 6] & g[j % 6]) / len(g[i % 6] | g[j % 6] or {0}) >= 0.6}
+    got = [(r.left_id, r.right_id) for r in df.collect()]
+    assert len(got) == len(set(got)) and set(got) == want and (0, 2) in want and (0, 6) in want
+    other = a.select((F.col("left_id") + 1000).alias("right_id"), "block", "name")
+    assert {(r.left_id, r.right_id) for r in resolve.fuzzy_pairs(a, other, "block", 0.99).collect()} == {(i, j + 1000) for i in range(294) for j in range(294) if g[i % 6] and g[i % 6] == g[j % 6]}
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    compared = next(x for x in plan.split("Join Inner")[1:] if "array_intersect(p" in x.split("\n")[0])
+    assert "Aggregate" in compared and "strategy=merge" in compared.split("\n")[0]
+
+
 def test_geocode_cascade(spark):
     census = [("80000001", "FLORES", "FLORES", n, None, -49.0 + n * 1e-5, -25.0) for n in range(2, 100, 2)]
     census += [("80000001", "FLORES", "FLORES", 10, "MERCADO CENTRAL", -49.0, -25.0), ("80000002", "PEDRAS", "PEDRAS", 5, None, -49.1, -25.1)]
