@@ -27,49 +27,60 @@ U = np.uint64
 FULL = U(0xFFFFFFFFFFFFFFFF)
 SQUEEZE = kernel.LOWER.copy()
 SQUEEZE[[9, 11, 12, 13]] = 32
+TABLE = SQUEEZE.tobytes()
+#: Bytes whose shingles are hashed at once, so that they stay in a core's cache.
+BLOCK = 1 << 15
 
 
 def normalise(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Lower-cases A-Z, makes each run of white space inside a line one space and trims lines. Gives the new bytes (with newlines)
     and each line's start and end there, lines in their order."""
-    b = SQUEEZE[buf]
+    b = np.frombuffer(buf.tobytes().translate(TABLE), np.uint8)
     starts, ends, _ = kernel.lines(buf, offsets)
     space = b == 32
-    solid = np.zeros(len(b) + 1, np.int64)
-    np.cumsum(~space & (b != 10), out=solid[1:])
-    keep = ~space
-    at = np.flatnonzero(space)
-    if len(at):  # a space stays if the next byte is of a word and a word stands before it in its line
-        line = np.searchsorted(starts, at, "right") - 1
-        after = np.minimum(at + 1, len(b) - 1)
-        word_next = (at + 1 < ends[line]) & ~space[after]
-        keep[at] = word_next & (solid[at] > solid[starts[line]])
-    place = np.zeros(len(b) + 1, np.int64)
-    np.cumsum(keep, out=place[1:])
-    return b[keep], place[starts], place[ends]
+    solid = ~(space | (b == 10))
+    odd = space.copy()  # all spaces but those between two bytes of words in one row
+    odd[1:-1] &= ~(solid[:-2] & solid[2:])
+    filled = offsets[1:] > offsets[:-1]
+    for edge in (offsets[:-1][filled], offsets[1:][filled] - 1):
+        odd[edge] = space[edge]
+    at = np.flatnonzero(odd)
+    if not len(at):
+        return b, starts, ends
+    # a space stays if the next byte is of a word and a word stands before its run in its line
+    line = np.searchsorted(starts, at, "right") - 1
+    run = at[np.maximum.accumulate(np.where(np.r_[True, at[1:] != at[:-1] + 1], np.arange(len(at)), 0))]
+    after = np.minimum(at + 1, len(b) - 1)
+    gone = at[~((at + 1 < ends[line]) & ~space[after] & (run > starts[line]))]
+    keep = np.ones(len(b), bool)
+    keep[gone] = False
+    return b[keep], starts - np.searchsorted(gone, starts), ends - np.searchsorted(gone, ends)
 
 
 def signatures(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Band keys (lines x BANDS) from one-permutation MinHash over shingles of Q bytes; lines shorter than that are one shingle.
-    Empty bins borrow from the next filled one."""
+    Empty bins borrow from the next filled one. Lines are not empty and stand in their order."""
     bins, n = BANDS * ROWS, len(starts)
-    length = ends - starts
+    low = np.full(n * bins, FULL)
     wide = np.concatenate([buf, np.zeros(Q, np.uint8)])
-    view = np.ndarray((len(buf) + 1,), "<u8", wide.tobytes(), strides=(1,))
+    view = np.ndarray((len(buf) + 1,), "<u8", wide, strides=(1,))
+    length = ends - starts
     count = np.maximum(length - Q + 1, 1)
-    total = np.cumsum(count)
-    line = np.repeat(np.arange(n), count)
-    place = np.arange(int(total[-1]) if n else 0) + (starts - (total - count))[line]
-    v = view[place]
-    short = length < Q
-    if short.any():
-        v = np.where(short[line], v & ((U(1) << (np.minimum(length, 7) * 8).astype(U)) - U(1))[line], v)
-    with np.errstate(over="ignore"):
-        h = v * U(kernel.P)
-        h = (h ^ (h >> U(32))) * U(0xD6E8FEB86659FD93)
+    bounds = np.r_[starts, ends[-1:]]
+    for i, j in kernel.chunks(bounds, BLOCK):  # every byte of these lines begins a shingle; those that reach beyond a line are not counted
+        first, span = starts[i], np.diff(bounds[i : j + 1])
+        h = view[first : bounds[j]].copy()
+        short = i + np.flatnonzero(length[i:j] < Q)
+        h[starts[short] - first] &= (U(1) << (length[short] * 8).astype(U)) - U(1)
+        h *= U(kernel.P)
+        h ^= h >> U(32)
+        h *= U(0xD6E8FEB86659FD93)
         h ^= h >> U(29)
-    low = np.full(n * bins, FULL)
-    np.minimum.at(low, line * bins + (h >> U(59)).astype(np.int64), h)
+        beyond = span - count[i:j]
+        h[np.repeat(starts[i:j] - first + count[i:j] - (np.cumsum(beyond) - beyond), beyond) + np.arange(beyond.sum())] = FULL
+        cell = (h >> U(64 - bins.bit_length() + 1)).view(np.int64)
+        cell += np.repeat(np.arange(i * bins, j * bins, bins), span)
+        np.minimum.at(low, cell, h)
     low = low.reshape(n, bins)
     gap = np.flatnonzero((low == FULL).any(1))
     if len(gap):
@@ -130,26 +141,30 @@ def _candidate_texts(batches):
             fresh.append(x not in met)
             met.add(x)
         batch = batch.filter(pa.array(fresh, pa.bool_()))
-        flat = batch.column(3).flatten()
-        texts, sets, keys = [], [], []
-        numbers, at = flat.field("line").to_numpy(), 0
-        for text, many in zip(batch.column(2).to_pylist(), batch.column(3).value_lengths().to_pylist()):
-            raw = np.frombuffer(text.encode(), np.uint8)
-            buf, first, last = normalise(raw, np.array([0, len(raw)]))
-            chosen = numbers[at : at + many]
-            at += many
-            keys.append(signatures(buf, first[chosen], last[chosen]))
+        data, offsets = kernel.buffers(batch.column(2))
+        flat, many = batch.column(3).flatten(), batch.column(3).value_lengths().to_numpy()
+        numbers, upto = flat.field("line").to_numpy(), np.r_[0, np.cumsum(many)]
+        for i, j in kernel.chunks(offsets):
+            raw, o = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+            buf, first, last = normalise(raw, o)
+            _, _, rows = kernel.lines(raw, o)
+            chosen = np.repeat(np.searchsorted(rows, np.arange(j - i)), many[i:j]) + numbers[upto[i] : upto[j]]
+            order = np.argsort(chosen)
+            of, chosen = flat.slice(upto[i], len(order)).take(pa.array(order)), chosen[order]
             whole = buf.tobytes()
-            for a, b in zip(first[chosen].tolist(), last[chosen].tolist()):
-                texts.append(whole[a:b].decode())
-                sets.append(shingles(whole[a:b]))
-        maps = parity(sets)
-        keys = np.concatenate(keys).view(np.int64).ravel() if keys else np.zeros(0, np.int64)
-        bands = pa.ListArray.from_arrays(np.arange(0, len(keys) + 1, BANDS, dtype=np.int32), pa.array(keys))
-        yield pa.record_batch(
-            [flat.field("node"), pa.array(texts, pa.string()), pa.array([len(s) for s in sets], pa.int32()), *(pa.array(maps[:, i]) for i in range(MAPS)), bands, flat.field("slices")],
-            ["node", "t", *SIGNS, "bands", "slices"],
-        )
+            lines = [whole[a:b] for a, b in zip(first[chosen].tolist(), last[chosen].tolist())]
+            sets = [shingles(x) for x in lines]
+            maps = parity(sets)
+            text = b"".join(lines)
+            ends = np.cumsum([len(x) for x in lines])
+            at = np.r_[0, ends].astype(np.int32)
+            keys = signatures(np.frombuffer(text, np.uint8), at[:-1].astype(np.int64), ends).view(np.int64).ravel()
+            bands = pa.ListArray.from_arrays(np.arange(0, len(keys) + 1, BANDS, dtype=np.int32), pa.array(keys))
+            texts = pa.StringArray.from_buffers(len(lines), pa.py_buffer(at), pa.py_buffer(text))
+            yield pa.record_batch(
+                [of.field("node"), texts, pa.array([len(s) for s in sets], pa.int32()), *(pa.array(maps[:, k]) for k in range(MAPS)), bands, of.field("slices")],
+                ["node", "t", *SIGNS, "bands", "slices"],
+            )
 
 
 def shingles(text: str | bytes) -> np.ndarray:

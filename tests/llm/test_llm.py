@@ -400,6 +400,88 @@ def test_line_dedup_slices(monkeypatch):
         assert dict(zip(*map(np.ndarray.tolist, g))) == dict(zip(*map(np.ndarray.tolist, full)))
 
 
+def plain_bands(line):
+    """The bands of one line by the definition, in plain numbers."""
+    full, p = (1 << 64) - 1, line_dedup.kernel.P
+
+    def mix(h):
+        h = (h ^ h >> 30) * 0xBF58476D1CE4E5B9 & full
+        h = (h ^ h >> 27) * 0x94D049BB133111EB & full
+        return h ^ h >> 31
+
+    low, n = {}, line_dedup.BANDS * line_dedup.ROWS
+    for k in range(max(len(line) - line_dedup.Q + 1, 1)):
+        h = int.from_bytes(line[k : k + line_dedup.Q], "little") * p & full
+        h = (h ^ h >> 32) * 0xD6E8FEB86659FD93 & full
+        h ^= h >> 29
+        low[h >> 59] = min(h, low.get(h >> 59, full))
+    far = [next(d for d in range(n) if (k + d) % n in low) for k in range(n)]
+    filled = [low[(k + d) % n] for k, d in enumerate(far)]
+    filled = [mix(h + d * p & full) if d else h for h, d in zip(filled, far)]
+    keys = []
+    for k in range(line_dedup.BANDS):
+        key = 0
+        for i in range(line_dedup.ROWS):
+            key = mix(key * p + filled[i * line_dedup.BANDS + k] + i + 1 & full)
+        keys.append(mix(key + (k + 1) * line_dedup.kernel.P_INV & full))
+    return keys
+
+
+def plain_lines(text):
+    low = text.encode().lower()
+    return [b" ".join(x for x in re.split(rb"[ \t\x0b\x0c\r]+", y) if x) for y in low.split(b"\n")]
+
+
+def test_line_dedup_candidates(monkeypatch):
+    """Lines picked from many documents, in any order and from a repeated row: what comes back of each line is what it has alone, by the
+    definition, and the documents of a batch are normalised together, not one by one."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(37)
+    parts = ["a", "Bc", "word", "\u00e9t\u00e9", "x" * 9, "longer words of text", " ", "  ", "\t", "\r", "\n", "\n\n", "\n \n"]
+    texts = ["".join(rng.choice(parts, int(rng.integers(1, 60))).tolist()) for _ in range(300)] + [" ".join(f"w{k}" for k in range(20000)) + "\nend"]
+    plain, rows, want = [plain_lines(t) for t in texts], [], {}
+    for k, t in enumerate(texts):
+        full = [i for i, x in enumerate(plain[k]) if x]
+        lines = [{"line": i, "node": 1000 * k + i, "slices": [i % 3] * line_dedup.BANDS} for i in rng.permutation(full).tolist()[: 1 + k % 4]]
+        want |= {x["node"]: (plain[k][x["line"]], x["slices"]) for x in lines}
+        rows.append({"dk": k, "th": -k, "text": t, "lines": lines})
+    rows = [r for r in rows if r["lines"]]
+    schema = pa.schema(
+        [("dk", pa.int64()), ("th", pa.int64()), ("text", pa.string()),
+         ("lines", pa.list_(pa.struct([("line", pa.int32()), ("node", pa.int64()), ("slices", pa.list_(pa.int32()))])))]
+    )
+    calls, normalise = [], line_dedup.normalise
+    monkeypatch.setattr(line_dedup, "normalise", lambda *a: calls.append(1) or normalise(*a))
+    batches = [pa.RecordBatch.from_pylist(x, schema=schema) for x in (rows, rows[:3])]
+    got = [x for b in line_dedup._candidate_texts(batches) for x in b.to_pylist()]
+    assert sorted(x["node"] for x in got) == sorted(want) and len(want) > 300
+    for x in got:
+        text, slices = want[x["node"]]
+        bands = np.array(x["bands"], np.int64).view(np.uint64).tolist()
+        assert x["t"].encode() == text and x["slices"] == slices and bands == plain_bands(text)
+        shingles = line_dedup.shingles(text)
+        assert x["n"] == len(shingles) and [x[m] for m in line_dedup.SIGNS[1:]] == line_dedup.parity([shingles])[0].tolist()
+    assert len(calls) <= 3
+
+
+def test_line_dedup_lines():
+    """Rows side by side in one buffer, with blanks and cut lines at their edges: lines and bands are those of each row alone."""
+    rng = np.random.default_rng(41)
+    for size in (6, 40, 4000):
+        for _ in range(60):
+            rows = ["".join(rng.choice(list("aB \t\r\n\x0b") + ["some words "], int(rng.integers(0, size))).tolist()) for _ in range(5)]
+            raw = np.frombuffer("".join(rows).encode(), np.uint8)
+            buf, starts, ends = line_dedup.normalise(raw, np.r_[0, np.cumsum([len(r) for r in rows])])
+            whole, full = buf.tobytes(), ends > starts
+            lines = [x for r in rows for x in plain_lines(r)]
+            assert [whole[a:b] for a, b in zip(starts, ends)] == lines
+            keys = line_dedup.signatures(buf, starts[full], ends[full])
+            some = [x for x in lines if x]
+            for k in rng.integers(0, len(some), 3).tolist() if some else ():
+                assert keys[k].tolist() == plain_bands(some[k])
+
+
 def test_line_dedup_odd(spark, odd, empty):
     got = line_dedup.line_dedup(odd).collect()
     assert len(got) == 14 and got[0].__fields__[:2] == ["n_lines", "n_dropped"]
