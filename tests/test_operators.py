@@ -3,6 +3,7 @@
 import datetime
 import zipfile
 
+import compare
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -125,6 +126,23 @@ def test_mutual_best_pairs(spark, tmp_path):
     assert sorted(map(tuple, got)) == [(k, k, 1.0) for k in range(10)]
 
 
+def test_mutual_best_distinct(spark, tmp_path):
+    """3000 by 3000 different balances of one nation, more of nations whose sides are far apart (many equal scores), without mates, with
+    null, NaN or infinite balances: the pairs of the SQL, and no step gives out the 9 million pairs."""
+    odd = [None, float("nan"), float("inf"), float("-inf"), 0.0, -0.0, 1e300, -1e300, 5.0, 5.0, 4e6]
+    c = [(k * 7 % 3001, 1, (k * 7919 % 1000003) / 100) for k in range(3000)] + [(4000 + k * 7 % 307, 2, k / 64) for k in range(300)]
+    c += [(5000 + k, 3 + k // 11, odd[k % 11]) for k in range(33)] + [(6000, 6, None), (6001, 7, None), (6002, 8, 1.0), (6003, None, 1.0), (6004, 9, 3.0), (6005, 9, None)]
+    s = [(k * 11 % 3001, 1, (k * 104729 % 1000003) / 100) for k in range(3000)] + [(4000 + k * 11 % 307, 2, 9000 + k / 64) for k in range(300)]
+    s += [(5000 + k, 3, odd[10 - k]) for k in range(11)] + [(5020, 4, 5.0), (5021, 4, 1e300), (5030, 5, None), (5031, 5, 7.0)]
+    s += [(6000, 6, None), (6001, 6, 2.0), (6002, 7, 2.0), (6003, 7, 1.0), (6004, None, 1.0), (6005, 9, None), (6006, 9, None)]
+    spark.createDataFrame(c, "c_custkey long, c_nationkey long, c_acctbal double").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame(s, "s_suppkey long, s_nationkey long, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    got = []
+    assert most_rows(spark, lambda: got.extend(catalog.mutual_best_match(spark, str(tmp_path)).collect())) < 100_000
+    want = compare.duck_rows(catalog.ORACLES["mutual_best_match"], str(tmp_path))[1]
+    assert sorted(repr(tuple(map(compare.plain, r))) for r in got) == sorted(map(repr, want)) and len(got) > 700
+
+
 def test_nearest_any_copies(spark):
     """2000 points and 2000 copies of two places: the smallest id of a place is found without all 4 million pairs."""
     a = spark.range(2000).select(F.col("id").alias("a_id"), (F.lit(-25.0) + F.col("id") * 1e-6).alias("lat"), F.lit(-49.0).alias("lon"))
