@@ -188,6 +188,27 @@ def test_fuzzy_pairs_copies(spark):
     assert "Aggregate" in compared and "strategy=merge" in compared.split("\n")[0]
 
 
+def test_trigram_whole_table(spark, tmp_path):
+    """Similar names of other brands and sizes are found, names without trigrams, copies and other letters come out as in the SQL, and
+    heads with their classes give all pairs of the table."""
+    names = ["cold plate", "old plate", "Old  PLATE!", "plate old", "old plates", "red bolt", "red bolts", "café bar", "caf bar", "", "--", "木", None, "İron rod", "iron rod", "a1 b2", "A1-b2"]
+    rows = [(k * 37 % 101, names[k % 17], f"Brand#{k % 5}" if k % 7 else None, k % 3 or None) for k in range(60)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    got = [tuple(map(compare.plain, r)) for r in catalog.trigram_similarity(spark, str(tmp_path)).collect()]
+    want = compare.duck_rows(catalog.ORACLES["trigram_similarity"], str(tmp_path))[1]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+    grams = lambda s: frozenset(f"  {w} "[i : i + 3] for w in "".join(c if c in "abcdefghijklmnopqrstuvwxyz0123456789" else " " for c in s.replace("İ", "i").lower()).split() for i in range(len(w) + 1))
+    g = {k: grams(n) for k, n, _, _ in rows if n is not None}
+    head = {k: k for k in g} | {b: a for a, b, s in got if s != s or s == 1.0}
+    linked = {(a, b) for a, b, s in got if s < 1.0}
+    for a in g:
+        for b in g:
+            if a < b:
+                x, y = sorted((head[a], head[b]))
+                assert (x == y or (x, y) in linked) == (not g[a] | g[b] or len(g[a] & g[b]) >= 0.6 * len(g[a] | g[b]))
+    assert linked and len({head[k] for k in g if not g[k]}) == 1
+
+
 def test_geocode_cascade(spark):
     census = [("80000001", "FLORES", "FLORES", n, None, -49.0 + n * 1e-5, -25.0) for n in range(2, 100, 2)]
     census += [("80000001", "FLORES", "FLORES", 10, "MERCADO CENTRAL", -49.0, -25.0), ("80000002", "PEDRAS", "PEDRAS", 5, None, -49.1, -25.1)]
